@@ -7,6 +7,7 @@ personal data), so these frames put the features in.  ``oracles`` defines the sa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import turnmill as tm
+from turnmill.operators.adapt import compute_once
 
 NL = "\n"
 
@@ -17,12 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First line of a document as Context, the rest as Response; NULL without a line break."""
-    docs = table(spark, sf_dir, "documents")
-    at = F.instr("text", NL)
-    return docs.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = docs.transform(compute_once, "parts", F.split("text", NL, 2))
+    return parts.select(
         "doc_id",
-        F.split_part("text", F.lit(NL), F.lit(1)).alias("Context"),
-        F.when(at > 0, F.substr("text", at + 1)).alias("Response"),
+        F.get("parts", F.lit(0)).alias("Context"),
+        F.get("parts", F.lit(1)).alias("Response"),
     )
 
 

@@ -10,7 +10,7 @@ from turnmill.operators.adapt import pairs_to_messages, turns_to_messages, turns
 from turnmill.operators.evals import assemble_results, eval_preview, eval_prompts, eval_summary, first_responses
 from turnmill.operators.filters import filter_long, filter_valid, skip_counts, word_count
 from turnmill.operators.issues import InvalidSamples, assert_valid, schema_issues, schema_issues_json, schema_report
-from turnmill.operators.order import number_rows, preview, seeded_order, smoke_sample
+from turnmill.operators.order import number_rows, preview, seeded_layout, seeded_order, smoke_sample
 from turnmill.operators.redact import redact_messages
 from turnmill.operators.split import split_counts, split_exact
 from turnmill.operators.stats import dataset_stats, source_profile

@@ -1,6 +1,6 @@
 """Rendering of message arrays as text.
 
-A row with a NULL content anywhere renders as NULL: Spark's ``array_join`` would
+A sample with a NULL role or content renders as NULL: Spark's ``array_join`` would
 silently leave the turn out.
 """
 
@@ -14,13 +14,13 @@ NO_PROMPT_ERROR = "Sample must have 'messages' or 'prompt' field"
 NO_MESSAGE_ERROR = "list index out of range"
 
 
-def _join_all(parts: Column, separator: str) -> Column:
-    return F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, separator))
+def _if_whole(messages: Column, text: Column) -> Column:
+    return F.when(~F.exists(messages, lambda m: m["role"].isNull() | m["content"].isNull()), text)
 
 
 def concat_messages(messages: Column) -> Column:
     """All contents, joined by one space."""
-    return _join_all(messages["content"], " ")
+    return _if_whole(messages, F.array_join(messages["content"], " "))
 
 
 def capitalize(col: Column) -> Column:
@@ -41,7 +41,7 @@ def render_chat(messages: Column, template: ChatTemplate = PLAIN, add_generation
             F.lit(template.turn_end),
         )
 
-    text = _join_all(F.transform(messages, turn), template.separator)
+    text = _if_whole(messages, F.array_join(F.transform(messages, turn), template.separator))
     tail = template.generation_prefix if add_generation_prompt else ""
     if template.bos or tail:
         text = F.concat(F.lit(template.bos), text, F.lit(tail))

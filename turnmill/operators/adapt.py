@@ -10,6 +10,18 @@ def field(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit("")
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``withColumn`` for a costly value that later steps read more than once.
+
+    Filters on a plain projected column are pushed below it with the expression copied in,
+    so the value would be computed for the filter and again for the output.  A one-row
+    generator keeps it in one place.
+    """
+    others = [c for c in df.columns if c != name]
+    once = df.select(*others, F.inline(F.array(F.struct(value.alias(name)))))
+    return once.select(*df.columns) if name in df.columns else once
+
+
 def pairs_to_messages(df: DataFrame) -> DataFrame:
     """Replace ``Context`` and ``Response`` by the two-message ``messages`` array."""
     messages = pair_messages(field(df, "Context"), field(df, "Response"))
@@ -23,7 +35,7 @@ def turns_to_messages(df: DataFrame, max_turns: int = 1000) -> DataFrame:
     larger than that however long one conversation is.  Nothing is left out: a longer
     conversation continues in the row of its next segment.
     """
-    segment = F.floor(F.col("turn") / max_turns).alias("segment")
+    segment = F.expr(f"turn div {int(max_turns)}").alias("segment")
     turn = F.struct("turn", F.col("role"), F.col("text").alias("content"))
     ordered = F.sort_array(F.collect_list(turn))
     return df.groupBy("conv_id", segment).agg(

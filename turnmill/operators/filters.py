@@ -4,7 +4,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from turnmill.functions.chat import concat_messages
 from turnmill.functions.pairs import is_valid_pair
 from turnmill.operators.adapt import field
 
@@ -40,6 +39,13 @@ def filter_long(
     """Keep samples of at most ``max_length`` tokens over all their contents.
 
     ``counter`` maps a text column to a count; pass a ``pandas_udf`` around a tokenizer for
-    true token counts, and its number of special tokens as ``special_tokens``.
+    true token counts, and its number of special tokens as ``special_tokens``.  A NULL
+    content counts as empty, so the sample stays for the content check to report.
     """
-    return df.where(counter(concat_messages(F.col(messages))) + special_tokens <= max_length)
+    text = F.array_join(F.col(messages)["content"], " ")
+    room = max_length - special_tokens
+    fits = counter(text) <= room
+    if counter is word_count:
+        # n words need at least 2n - 1 characters; most texts are settled by their length.
+        fits = (F.length(text) < 2 * room + 1) | fits
+    return df.where(fits)

@@ -20,6 +20,19 @@ def seeded_order(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(order_hash(F.col(key), seed), F.col(key))
 
 
+def seeded_layout(df: DataFrame, key: str, partitions: int, seed: int = 42, first: tuple[str, ...] = ()) -> DataFrame:
+    """The rows in seeded order over that many partitions of equal size, for writing.
+
+    The hashes are uniform, so a row's partition follows from its hash alone; a sort would
+    first read the whole input once more to sample it.  Rows are sorted by ``first`` inside
+    a partition before the hash, for a writer that groups by those columns.
+    """
+    place = order_hash(F.col(key), seed)
+    fraction = F.conv(F.left(place, F.lit(8)), 16, 10).cast("long")
+    target = F.shiftright(fraction * partitions, 32).cast("int")
+    return df.repartitionById(partitions, target).sortWithinPartitions(*first, place, key)
+
+
 def smoke_sample(df: DataFrame, key: str, n: int = 5, seed: int = 42) -> DataFrame:
     """The first ``n`` rows of the seeded order; a top-n per task, no full sort."""
     return seeded_order(df, key, seed).limit(n)

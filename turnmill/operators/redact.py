@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from turnmill.functions.pii import KINDS, PLACEHOLDER, redact_contents
+from turnmill.operators.adapt import compute_once
 
 
 def redact_messages(
@@ -14,4 +15,4 @@ def redact_messages(
     messages: str = "messages",
 ) -> DataFrame:
     """Redact every message content of every sample."""
-    return df.withColumn(messages, redact_contents(df[messages], placeholder, kinds))
+    return compute_once(df, messages, redact_contents(df[messages], placeholder, kinds))

@@ -8,7 +8,7 @@ from turnmill.config import PrepareConfig
 from turnmill.operators.adapt import pairs_to_messages
 from turnmill.operators.filters import filter_valid, pair_validity
 from turnmill.operators.issues import assert_valid, sample_issues, schema_issues
-from turnmill.operators.order import order_hash, preview, smoke_sample
+from turnmill.operators.order import preview, seeded_layout, smoke_sample
 from turnmill.operators.split import TRAIN, VALIDATION, split_counts, split_exact
 from turnmill.sinks.jsonl import write_jsonl, write_splits
 from turnmill.storage import materialize
@@ -19,10 +19,21 @@ def to_samples(pairs: DataFrame, config: PrepareConfig = PrepareConfig()) -> Dat
     return filter_valid(pairs, config.min_length, config.max_length).transform(pairs_to_messages)
 
 
-def prepare(pairs: DataFrame, key: str, config: PrepareConfig = PrepareConfig()) -> DataFrame:
-    """The prepared dataset as one lazy frame ``(key, messages, split)``."""
+def _stage(keys: DataFrame) -> DataFrame:
+    # Rebalanced, because a key file per input task would be tiny.
+    return materialize(keys.hint("rebalance"), "keys")
+
+
+def prepare(pairs: DataFrame, key: str, config: PrepareConfig = PrepareConfig(), keys: DataFrame | None = None) -> DataFrame:
+    """The prepared dataset as a frame ``(key, messages, split)``.
+
+    The texts are read twice: now, to write the narrow table of the kept keys from which
+    the split finds its cut, and when the result is used.  Pass that table as ``keys`` if
+    there is one already.
+    """
     samples = to_samples(pairs, config).select(key, "messages")
-    keys = filter_valid(pairs, config.min_length, config.max_length).select(key)
+    if keys is None:
+        keys = _stage(filter_valid(pairs, config.min_length, config.max_length).select(key))
     return split_exact(samples, key, config.train_split, config.seed, keys=keys)
 
 
@@ -40,17 +51,23 @@ class PrepareReport:
     preview: DataFrame
 
 
-def prepare_to_jsonl(pairs: DataFrame, key: str, config: PrepareConfig = PrepareConfig()) -> PrepareReport:
+def prepare_to_jsonl(
+    pairs: DataFrame,
+    key: str,
+    config: PrepareConfig = PrepareConfig(),
+    file_bytes: int = 128 * 1024 * 1024,
+) -> PrepareReport:
     """Run the whole job: filter, convert, check, split, shuffle, write.
 
     Two passes over the input.  The first counts kept, skipped and broken samples and
     writes the keys of the kept ones, a narrow table that the split reads instead of the
-    texts.  The second writes both splits in shuffled order.  Nothing is written to the
-    output when a sample breaks the schema.
+    texts.  The second writes both splits in shuffled order, in files of about
+    ``file_bytes``.  Nothing is written to the output when a sample breaks the schema.
     """
     valid = pair_validity(pairs, config.min_length, config.max_length)
     marked = pairs.withColumn("_valid", valid)
     converted = marked.transform(pairs_to_messages)
+    size = F.octet_length(F.col("messages")[0]["content"]) + F.octet_length(F.col("messages")[1]["content"])
     broken = F.size(sample_issues(F.col(key), F.col("messages")))
 
     seen = Observation()
@@ -60,20 +77,21 @@ def prepare_to_jsonl(pairs: DataFrame, key: str, config: PrepareConfig = Prepare
             F.count(F.lit(1)).alias("total"),
             F.count_if(F.col("_valid")).alias("kept"),
             F.sum(F.when(F.col("_valid"), broken)).alias("broken"),
+            F.sum(F.when(F.col("_valid"), size)).alias("bytes"),
         )
         .where(F.col("_valid"))
         .select(key)
     )
-    keys = materialize(keys, "keys")
+    keys = _stage(keys)
     figures = seen.get
     samples = to_samples(pairs, config).select(key, "messages")
     if figures["broken"]:
         assert_valid(schema_issues(samples, key))
 
-    split = split_exact(samples, key, config.train_split, config.seed, keys=keys)
-    place = order_hash(F.col(key), config.seed)
-    shuffled = split.orderBy("split", place, key).select("messages", "split")
-    write_splits(shuffled, config.out)
+    split = prepare(pairs, key, config, keys)
+    partitions = 1 + (figures["bytes"] or 0) // file_bytes
+    shuffled = seeded_layout(split, key, partitions, config.seed, first=("split",))
+    write_splits(shuffled.select("messages", "split"), config.out)
 
     placed = split_exact(keys, key, config.train_split, config.seed)
     sizes = {r["split"]: r["num_samples"] for r in split_counts(placed).collect()}
