@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import turnmill as tm
+from turnmill.functions.pairs import length_between
 
 CASES = [
     ("x" * 10, "y" * 10, True),
@@ -30,6 +31,14 @@ def test_validity_table(pairs):
     assert [r["v"] for r in got] == [v for *_, v in CASES]
 
 
+def test_length_bounds_in_characters(spark):
+    texts = [c * n for c in "aé中😀" for n in range(13)] + [None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for low, high in ((0, 0), (1, 3), (2, 8), (3, 3), (5, 2)):
+        got = [r["t"] for r in df.where(length_between(F.col("t"), low, high)).collect()]
+        assert got == [t for t in texts if t is not None and low <= len(t) <= high]
+
+
 def test_filter_and_counts_agree(pairs):
     kept = pairs.transform(tm.filter_valid).count()
     counts = pairs.transform(tm.skip_counts).first()

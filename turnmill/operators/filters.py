@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill.functions.pairs import is_valid_pair
-from turnmill.operators.adapt import field
+from turnmill.operators.adapt import compute_once, field
 
 
 def pair_validity(df: DataFrame, min_len: int = 10, max_len: int = 8000) -> Column:
@@ -29,6 +29,22 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\S+"))
 
 
+def within_length(
+    messages: Column,
+    counter: Callable[[Column], Column] = word_count,
+    max_length: int = 2048,
+    special_tokens: int = 0,
+) -> Column:
+    """Whether a sample has at most ``max_length`` tokens over all its contents."""
+    text = F.array_join(messages["content"], " ")
+    room = max_length - special_tokens
+    if counter is not word_count:
+        return counter(text) <= room
+    # n words need at least 2n - 1 characters, so most texts are settled by their length.
+    # The lambda names the joined text, which would else be made once for either test.
+    return F.exists(F.array(text), lambda t: (F.length(t) < 2 * room + 1) | (word_count(t) <= room))
+
+
 def filter_long(
     df: DataFrame,
     counter: Callable[[Column], Column] = word_count,
@@ -42,10 +58,5 @@ def filter_long(
     true token counts, and its number of special tokens as ``special_tokens``.  A NULL
     content counts as empty, so the sample stays for the content check to report.
     """
-    text = F.array_join(F.col(messages)["content"], " ")
-    room = max_length - special_tokens
-    fits = counter(text) <= room
-    if counter is word_count:
-        # n words need at least 2n - 1 characters; most texts are settled by their length.
-        fits = (F.length(text) < 2 * room + 1) | fits
-    return df.where(fits)
+    once = compute_once(df, messages, F.col(messages))
+    return once.where(within_length(F.col(messages), counter, max_length, special_tokens))

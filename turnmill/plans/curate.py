@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from turnmill.config import PLAIN, ChatTemplate
 from turnmill.functions.chat import render_chat
 from turnmill.functions.checks import validate_messages
-from turnmill.operators.filters import filter_long, word_count
+from turnmill.operators.adapt import compute_once
+from turnmill.operators.filters import within_length, word_count
 from turnmill.operators.redact import redact_messages
 
 
@@ -22,8 +23,9 @@ def curate(
     One narrow stage: nothing is shuffled.
     """
     return (
-        df.where(validate_messages(F.col("messages")))
+        compute_once(df, "messages", F.col("messages"))
+        .where(validate_messages(F.col("messages")))
         .transform(redact_messages)
-        .transform(filter_long, counter, max_length)
+        .where(within_length(F.col("messages"), counter, max_length))
         .withColumn("text", render_chat(F.col("messages"), template))
     )

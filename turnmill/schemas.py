@@ -33,3 +33,23 @@ RESPONSES = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+
+RESULTS = T.StructType(
+    [
+        T.StructField("sample_id", T.LongType()),
+        T.StructField("prompt", T.StringType()),
+        T.StructField("response", T.StringType()),
+        T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
+        T.StructField(
+            "generation_params",
+            T.StructType(
+                [
+                    T.StructField("max_new_tokens", T.IntegerType()),
+                    T.StructField("temperature", T.DoubleType()),
+                    T.StructField("top_p", T.DoubleType()),
+                ]
+            ),
+        ),
+        T.StructField("error", T.StringType()),
+    ]
+)
