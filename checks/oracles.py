@@ -127,6 +127,8 @@ ORACLES = {
     "load_splits": f"""WITH {PREPARED}
         SELECT doc_id, CASE split WHEN 'val' THEN 'validation' ELSE split END AS split,
                'user' AS first_role, question, 'assistant' AS second_role, answer FROM prepared""",
+    "eval_prompt_file": """SELECT row_number() OVER (ORDER BY conv_id, turn) AS sample_id, text,
+        CAST(conv_id AS VARCHAR) AS conv FROM conversations WHERE role = 'user'""",
     "scan_pairs": f"WITH {DOC_PAIRS} SELECT doc_id, Context, Response FROM doc_pairs",
     "source_profile": "SELECT count(*) AS num_rows, 'doc_id,text,lang,source,n_chars' AS columns FROM documents",
     "turn_messages": f"WITH {messages('conversations')} SELECT conv_id, segment, msg_idx, role, content FROM msgs",

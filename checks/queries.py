@@ -47,6 +47,18 @@ def load_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_sides(tm.union_splits(loaded), "doc_id", "split")
 
 
+def eval_prompt_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts numbered in the order of the lines of a file set."""
+    path = scratch_path(spark, "prompts")
+    turns = frames.table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    message = F.struct(F.col("role"), F.col("text").alias("content"))
+    metadata = F.create_map(F.lit("conv"), F.col("conv_id").cast("string")).alias("metadata")
+    tm.write_jsonl(turns.orderBy("conv_id", "turn").select(F.array(message).alias("messages"), metadata), path)
+    return tm.read_eval_prompts(spark, path).select(
+        "sample_id", F.get(_messages(), F.lit(0))["content"].alias("text"), F.col("metadata")["conv"].alias("conv")
+    )
+
+
 def scan_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs of the split to use, out of two."""
     pairs = frames.doc_pairs(spark, sf_dir)
@@ -247,7 +259,7 @@ def eval_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prompt",
         "response",
         F.try_element_at("metadata", F.lit("category")).alias("category"),
-        F.size("metadata").cast("long").alias("n_metadata"),
+        F.array_size(F.map_keys("metadata")).cast("long").alias("n_metadata"),
         params["max_new_tokens"].cast("long").alias("max_new_tokens"),
         params["temperature"].alias("temperature"),
         params["top_p"].alias("top_p"),
@@ -272,6 +284,7 @@ QUERIES = {
     for f in (
         jsonl_roundtrip,
         load_splits,
+        eval_prompt_file,
         scan_pairs,
         source_profile,
         turn_messages,

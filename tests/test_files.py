@@ -37,6 +37,13 @@ def test_malformed_line_can_be_set_aside(spark, tmp_path):
     assert [r["_corrupt_record"] for r in rows] == [None, '{"messages": [']
 
 
+def test_schema_can_be_found_in_the_files(spark, tmp_path):
+    path = write(tmp_path / "x.jsonl", '{"a": 1, "messages": [{"role": "user", "content": "x", "n": 2}]}\n\u00a0\n{"b": "y"}\n')
+    df = tm.read_jsonl(spark, path, schema=None)
+    assert df.columns == ["a", "b", "messages"]
+    assert [(r["a"], r["b"]) for r in df.collect()] == [(1, None), (None, "y")]
+
+
 def test_write_returns_the_count_and_replaces(spark, tmp_path):
     out = str(tmp_path / "out")
     df = spark.createDataFrame([(1, "é", None), (2, "b", "x")], "a int, b string, c string")

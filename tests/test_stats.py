@@ -25,6 +25,18 @@ def test_empty_and_null(spark):
     assert (nulls["num_samples"], nulls["min_messages"], nulls["avg_content_length"]) == (3, 0, 3.0)
 
 
+def test_null_messages_without_ansi_mode(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("t", None), ("t", [("user", "a")])], SCHEMA)
+        row = tm.dataset_stats(df).first()
+        assert (row["num_samples"], row["min_messages"], row["avg_messages_per_sample"]) == (2, 1, 1.0)
+        lines = spark.createDataFrame([(1, '{"messages": null}')], "id int, value string")
+        assert tm.schema_issues_json(lines, "id").first()["detail"] == "Sample 1: Expected 2 messages, got 0"
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_without_messages(spark):
     row = tm.dataset_stats(spark.range(5)).first()
     assert row.asDict() == {"num_samples": 5, "num_features": 1, "features": ["id"]}

@@ -61,7 +61,7 @@ def prompt_error(messages: Column, prompt: Column) -> Column:
     """Why a sample cannot be prompted or recorded; NULL when it can."""
     no_prompt = F.coalesce(prompt, F.lit("")) == ""
     return F.when(messages.isNull() & prompt.isNull(), F.lit(NO_PROMPT_ERROR)).when(
-        (F.size(messages) == 0) & no_prompt, F.lit(NO_MESSAGE_ERROR)
+        (F.array_size(messages) == 0) & no_prompt, F.lit(NO_MESSAGE_ERROR)
     )
 
 

@@ -12,7 +12,7 @@ ROLES = ("user", "assistant", "system")
 
 def validate_messages(messages: Column) -> Column:
     """At least two messages, every role known.  Never NULL."""
-    ok = (F.size(messages) >= 2) & F.forall(messages, lambda m: F.coalesce(m["role"].isin(*ROLES), F.lit(False)))
+    ok = (F.array_size(messages) >= 2) & F.forall(messages, lambda m: F.coalesce(m["role"].isin(*ROLES), F.lit(False)))
     return F.coalesce(ok, F.lit(False))
 
 
@@ -52,7 +52,7 @@ def validate_messages_json(value: Column) -> Column:
     def item_ok(item: Column) -> Column:
         return variant_has_key(item, "content") & F.coalesce(variant_role(item).isin(*ROLES), F.lit(False))
 
-    return F.coalesce((F.size(items) >= 2) & F.forall(items, item_ok), F.lit(False))
+    return F.coalesce((F.array_size(items) >= 2) & F.forall(items, item_ok), F.lit(False))
 
 
 def content_rules(messages: Column) -> Column:

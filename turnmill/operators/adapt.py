@@ -10,6 +10,11 @@ def field(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit("")
 
 
+def named(df: DataFrame) -> list[str]:
+    """The column names, quoted, so that names with dots can be selected."""
+    return [f"`{c}`" for c in df.columns]
+
+
 def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``withColumn`` for a costly value that later steps read more than once.
 
@@ -17,9 +22,9 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     so the value would be computed for the filter and again for the output.  A one-row
     generator keeps it in one place.
     """
-    others = [c for c in df.columns if c != name]
+    others = [c for c in named(df) if c != f"`{name}`"]
     once = df.select(*others, F.inline(F.array(F.struct(value.alias(name)))))
-    return once.select(*df.columns) if name in df.columns else once
+    return once.select(*named(df)) if name in df.columns else once
 
 
 def pairs_to_messages(df: DataFrame) -> DataFrame:

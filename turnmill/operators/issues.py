@@ -52,7 +52,7 @@ def sample_issues(key: Column, messages: Column) -> Column:
     return issue_array(
         key,
         messages.isNotNull(),
-        F.size(messages),
+        F.array_size(messages),
         messages["role"],
         F.transform(messages, lambda m: m["content"].isNotNull()),
     )
@@ -65,7 +65,7 @@ def sample_issues_json(key: Column, value: Column) -> Column:
     return issue_array(
         key,
         checks.variant_has_key(sample, "messages"),
-        F.coalesce(F.size(items), F.lit(0)),
+        F.coalesce(F.array_size(items), F.lit(0)),
         F.transform(items, checks.variant_role),
         F.transform(items, lambda m: checks.variant_has_key(m, "content")),
     )

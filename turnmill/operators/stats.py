@@ -28,11 +28,11 @@ def dataset_stats(df: DataFrame, by: str | None = None, messages: str = "message
         return df.groupBy(*group).agg(samples).select(*group, "num_samples", *named)
 
     lengths = F.filter(F.transform(df[messages]["content"], F.length), lambda n: n.isNotNull())
-    rows = df.select(*group, F.size(messages).alias("m"), lengths.alias("len"))
+    rows = df.select(*group, F.array_size(messages).alias("m"), lengths.alias("len"))
     rows = rows.select(
         *group,
         "m",
-        F.size("len").alias("c"),
+        F.array_size("len").alias("c"),
         F.aggregate("len", F.lit(0).cast("long"), lambda total, n: total + n).alias("chars"),
         F.array_min("len").alias("shortest"),
         F.array_max("len").alias("longest"),

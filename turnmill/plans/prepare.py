@@ -68,7 +68,7 @@ def prepare_to_jsonl(
     marked = pairs.withColumn("_valid", valid)
     converted = marked.transform(pairs_to_messages)
     size = F.octet_length(F.col("messages")[0]["content"]) + F.octet_length(F.col("messages")[1]["content"])
-    broken = F.size(sample_issues(F.col(key), F.col("messages")))
+    broken = F.array_size(sample_issues(F.col(key), F.col("messages")))
 
     seen = Observation()
     keys = (

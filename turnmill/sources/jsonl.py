@@ -17,15 +17,18 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_jsonl(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType = schemas.MESSAGES,
+    schema: T.StructType | None = schemas.MESSAGES,
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """Typed rows of JSON Lines files; blank lines are skipped, a malformed line fails.
 
     The lines are read as text because the JSON source fails on a line of Unicode spaces.
     With ``mode='PERMISSIVE'`` a malformed line gives NULLs, and its text goes to a
-    ``_corrupt_record`` column if ``schema`` has one.
+    ``_corrupt_record`` column if ``schema`` has one.  Without a ``schema`` all fields found
+    in the files are read, at the cost of one more pass to find them.
     """
+    if schema is None:
+        schema = spark.read.option("mode", "DROPMALFORMED").json(path).schema
     record = F.from_json("value", schema, {"mode": mode, "columnNameOfCorruptRecord": "_corrupt_record"})
     return read_lines(spark, path).select(record.alias("r")).select("r.*")
 
@@ -33,7 +36,7 @@ def read_jsonl(
 def load_splits(
     spark: SparkSession,
     paths: Mapping[str, str | None],
-    schema: T.StructType = schemas.MESSAGES,
+    schema: T.StructType | None = schemas.MESSAGES,
 ) -> dict[str, DataFrame]:
     """One frame per named split, e.g. ``{'train': ..., 'validation': ...}``.
 
