@@ -103,7 +103,7 @@ def eval_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((turn >= 4) & (size >= 100), F.concat(F.lit("Q: "), text)).when(turn >= 4, F.lit("")).alias("prompt"),
         F.when(size >= 60, F.create_map(F.lit("category"), category)).alias("metadata"),
         "response",
-        F.when(F.length("response") > 1000, F.lit("response too long")).alias("error"),
+        F.when(F.length("response") > 1200, F.lit("response too long")).alias("error"),
     )
 
 

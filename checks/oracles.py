@@ -104,7 +104,7 @@ EVAL_TURNS = """numbered AS (
     CASE WHEN (turn < 4 AND size >= 30) OR turn >= 6 THEN text END AS message,
     CASE WHEN turn >= 4 AND size >= 100 THEN 'Q: ' || text WHEN turn >= 4 THEN '' END AS prompt,
     CASE WHEN size >= 60 THEN CASE WHEN contains(text, '?') THEN 'question' ELSE 'statement' END END AS category,
-    CASE WHEN length(response) > 1000 THEN 'response too long' END AS response_error
+    CASE WHEN length(response) > 1200 THEN 'response too long' END AS response_error
   FROM numbered), prompts AS (
   SELECT *, CASE WHEN message IS NOT NULL THEN 'User: ' || message || chr(10) || 'Assistant:' ELSE prompt END AS model_prompt,
     CASE WHEN message IS NULL AND prompt IS NULL THEN 'Sample must have ''messages'' or ''prompt'' field' END AS prompt_error

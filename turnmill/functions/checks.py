@@ -6,6 +6,8 @@ through VARIANT and typed columns by the rules a type leaves open.
 
 from pyspark.sql import Column, functions as F
 
+from turnmill.functions.binding import bind
+
 # The roles a message may have.
 ROLES = ("user", "assistant", "system")
 
@@ -47,12 +49,14 @@ def validate_messages_json(value: Column) -> Column:
 
     Content must be present but may be null or of any type; further keys are allowed.
     """
-    items = variant_items(F.try_parse_json(value))
 
     def item_ok(item: Column) -> Column:
         return variant_has_key(item, "content") & F.coalesce(variant_role(item).isin(*ROLES), F.lit(False))
 
-    return F.coalesce((F.array_size(items) >= 2) & F.forall(items, item_ok), F.lit(False))
+    def items_ok(items: Column) -> Column:
+        return (F.array_size(items) >= 2) & F.forall(items, item_ok)
+
+    return F.coalesce(bind(F.try_parse_json(value), lambda sample: bind(variant_items(sample), items_ok)), F.lit(False))
 
 
 def content_rules(messages: Column) -> Column:

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from turnmill.functions.binding import bind
 from turnmill.functions.pairs import is_valid_pair
 from turnmill.operators.adapt import compute_once, field
 
@@ -41,8 +42,7 @@ def within_length(
     if counter is not word_count:
         return counter(text) <= room
     # n words need at least 2n - 1 characters, so most texts are settled by their length.
-    # The lambda names the joined text, which would else be made once for either test.
-    return F.exists(F.array(text), lambda t: (F.length(t) < 2 * room + 1) | (word_count(t) <= room))
+    return bind(text, lambda t: (F.length(t) < 2 * room + 1) | (word_count(t) <= room))
 
 
 def filter_long(

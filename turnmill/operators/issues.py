@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill.functions import checks
+from turnmill.functions.binding import bind
 from turnmill.operators.order import seeded_order
 
 # Report texts.
@@ -60,15 +61,23 @@ def sample_issues(key: Column, messages: Column) -> Column:
 
 def sample_issues_json(key: Column, value: Column) -> Column:
     """Issues of a line of JSON text; a content that is present and null is no issue."""
-    sample = F.try_parse_json(value)
-    items = checks.variant_items(sample)
-    return issue_array(
-        key,
-        checks.variant_has_key(sample, "messages"),
-        F.coalesce(F.array_size(items), F.lit(0)),
-        F.transform(items, checks.variant_role),
-        F.transform(items, lambda m: checks.variant_has_key(m, "content")),
-    )
+
+    def facts_of_items(items: Column) -> Column:
+        return F.struct(
+            F.coalesce(F.array_size(items), F.lit(0)).alias("count"),
+            F.transform(items, checks.variant_role).alias("roles"),
+            F.transform(items, lambda m: checks.variant_has_key(m, "content")).alias("has_content"),
+        )
+
+    def facts(sample: Column) -> Column:
+        present = F.coalesce(checks.variant_has_key(sample, "messages"), F.lit(False))
+        return F.struct(present.alias("present"), bind(checks.variant_items(sample), facts_of_items).alias("items"))
+
+    def issues(found: Column) -> Column:
+        items = found["items"]
+        return issue_array(key, found["present"], items["count"], items["roles"], items["has_content"])
+
+    return bind(bind(F.try_parse_json(value), facts), issues)
 
 
 def _explode(df: DataFrame, key: str, issues: Column, order: list[str], limit: int | None, seed: int) -> DataFrame:
