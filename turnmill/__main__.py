@@ -1,6 +1,7 @@
-"""Command line: ``python -m turnmill prepare ...`` or through ``spark-submit``."""
+"""Command line: ``python -m turnmill prepare ...``, or this file through ``spark-submit``."""
 
 import argparse
+from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
@@ -15,21 +16,25 @@ from turnmill.sources.jsonl import load_splits, read_eval_prompts, read_jsonl, u
 from turnmill.sources.pairs import read_pairs
 
 
+def _options(parser: argparse.ArgumentParser, settings: type) -> None:
+    """One option per setting, with its type and default."""
+    for f in fields(settings):
+        parser.add_argument("--" + f.name.replace("_", "-"), type=f.type, default=f.default)
+
+
+def _settings(args: argparse.Namespace, settings: type):
+    return settings(**{f.name: getattr(args, f.name) for f in fields(settings)})
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="turnmill", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
-    prepare_defaults, params = PrepareConfig(), GenerationParams()
 
     prepare = commands.add_parser("prepare", help="pairs to checked, shuffled and split JSON Lines")
     prepare.add_argument("pairs", help="table with Context and Response")
     prepare.add_argument("--format", default="parquet", choices=["parquet", "json", "csv", "orc"])
     prepare.add_argument("--key", help="unique column; without it one is made from the content")
-    prepare.add_argument("--out", default=prepare_defaults.out)
-    prepare.add_argument("--train-split", type=float, default=prepare_defaults.train_split)
-    prepare.add_argument("--min-length", type=int, default=prepare_defaults.min_length)
-    prepare.add_argument("--max-length", type=int, default=prepare_defaults.max_length)
-    prepare.add_argument("--seed", type=int, default=prepare_defaults.seed)
-    prepare.add_argument("--preview", type=int, default=prepare_defaults.preview)
+    _options(prepare, PrepareConfig)
 
     stats = commands.add_parser("stats", help="figures of stored splits")
     stats.add_argument("train")
@@ -38,51 +43,32 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     results = commands.add_parser("results", help="evaluation prompts and responses to result records")
     results.add_argument("prompts", help="JSON Lines with messages or prompt")
     results.add_argument("responses", help="JSON Lines with sample_id, response, error")
-    results.add_argument("--output", required=True)
-    results.add_argument("--max-new-tokens", type=int, default=params.max_new_tokens)
-    results.add_argument("--temperature", type=float, default=params.temperature)
-    results.add_argument("--top-p", type=float, default=params.top_p)
+    results.add_argument("output")
+    _options(results, GenerationParams)
     return parser.parse_args(argv)
 
 
 def run_prepare(spark: SparkSession, args: argparse.Namespace) -> None:
-    pairs = read_pairs(spark, args.pairs, args.format)
-    key = args.key
+    key, pairs = args.key, read_pairs(spark, args.pairs, args.format)
     if key is None:
         key, pairs = "row_key", with_row_key(pairs.select("Context", "Response"))
-    config = PrepareConfig(args.out, args.train_split, args.min_length, args.max_length, args.seed, args.preview)
-    report = prepare_to_jsonl(pairs, key, config)
-    print(f"Processed: {report.kept} samples, skipped: {report.skipped} of {report.total}")
-    print(f"Training samples: {report.train} in {report.train_path}")
-    print(f"Validation samples: {report.val} in {report.val_path}")
-    for row in report.preview.orderBy("sample_no", "msg_idx").toLocalIterator():
-        print(f"[{row['sample_no']}] {row['role']}: {row['content']}")
+    report = prepare_to_jsonl(pairs, key, _settings(args, PrepareConfig))
+    print(report.summary())
+    report.preview.orderBy("sample_no", "msg_idx").show(2 * args.preview, truncate=False)
 
 
 def run_stats(spark: SparkSession, args: argparse.Namespace) -> None:
     splits = load_splits(spark, {"train": args.train, "validation": args.validation})
-    for row in dataset_stats(union_splits(splits), by="split").collect():
-        print(f"{row['split'].upper()} Split:")
-        print(f"  Samples: {row['num_samples']}")
-        print(f"  Features: {', '.join(row['features'])}")
-        if row["avg_messages_per_sample"] is not None:
-            print(f"  Avg messages/sample: {row['avg_messages_per_sample']:.2f}")
-            print(f"  Message range: {row['min_messages']}-{row['max_messages']}")
-        if row["avg_content_length"] is not None:
-            print(f"  Avg content length: {row['avg_content_length']:.0f} chars")
-            print(f"  Content length range: {row['min_content_length']}-{row['max_content_length']} chars")
+    dataset_stats(union_splits(splits), by="split").show(truncate=False, vertical=True)
 
 
 def run_results(spark: SparkSession, args: argparse.Namespace) -> None:
     prompts = read_eval_prompts(spark, args.prompts)
     responses = read_jsonl(spark, args.responses, schemas.RESPONSES)
-    params = GenerationParams(args.max_new_tokens, args.temperature, args.top_p)
-    write_results(prompts, responses, args.output, params)
+    write_results(prompts, responses, args.output, _settings(args, GenerationParams))
     written = results_of(spark, args.output)
-    summary = eval_summary(written).first()
-    print(f"Total samples: {summary['total']}, errors: {summary['errors']}, in {args.output}")
-    for row in first_responses(written).collect():
-        print(f"Prompt: {row['prompt']}\nResponse: {row['response']}")
+    eval_summary(written).show()
+    first_responses(written).show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:

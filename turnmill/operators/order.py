@@ -27,10 +27,11 @@ def seeded_layout(df: DataFrame, key: str, partitions: int, seed: int = 42, firs
     first read the whole input once more to sample it.  Rows are sorted by ``first`` inside
     a partition before the hash, for a writer that groups by those columns.
     """
-    place = order_hash(F.col(key), seed)
-    fraction = F.conv(F.left(place, F.lit(8)), 16, 10).cast("long")
+    # A column of its own: a sort evaluates an expression anew in every comparison.
+    placed = df.withColumn("_place", order_hash(F.col(key), seed))
+    fraction = F.conv(F.left("_place", F.lit(8)), 16, 10).cast("long")
     target = F.shiftright(fraction * partitions, 32).cast("int")
-    return df.repartitionById(partitions, target).sortWithinPartitions(*first, place, key)
+    return placed.repartitionById(partitions, target).sortWithinPartitions(*first, "_place", key).drop("_place")
 
 
 def smoke_sample(df: DataFrame, key: str, n: int = 5, seed: int = 42) -> DataFrame:

@@ -9,7 +9,7 @@ from turnmill.operators.adapt import pairs_to_messages
 from turnmill.operators.filters import filter_valid, pair_validity
 from turnmill.operators.issues import assert_valid, sample_issues, schema_issues
 from turnmill.operators.order import preview, seeded_layout, smoke_sample
-from turnmill.operators.split import TRAIN, VALIDATION, split_counts, split_exact
+from turnmill.operators.split import TRAIN, VALIDATION, split_exact
 from turnmill.sinks.jsonl import write_jsonl, write_splits
 from turnmill.storage import materialize
 
@@ -24,6 +24,11 @@ def _stage(keys: DataFrame) -> DataFrame:
     return materialize(keys.hint("rebalance"), "keys")
 
 
+def _partitions(size: int, file_bytes: int, cores: int, least: int = 16 * 1024 * 1024) -> int:
+    # By size, so that a task's sort fits in memory; small data still uses all cores.
+    return max(1 + size // file_bytes, min(cores, 1 + size // least))
+
+
 def prepare(pairs: DataFrame, key: str, config: PrepareConfig = PrepareConfig(), keys: DataFrame | None = None) -> DataFrame:
     """The prepared dataset as a frame ``(key, messages, split)``.
 
@@ -50,18 +55,24 @@ class PrepareReport:
     val_path: str
     preview: DataFrame
 
+    def summary(self) -> str:
+        return (
+            f"{self.total} pairs: {self.kept} kept, {self.skipped} skipped\n"
+            f"{self.train} in {self.train_path}\n{self.val} in {self.val_path}"
+        )
+
 
 def prepare_to_jsonl(
     pairs: DataFrame,
     key: str,
     config: PrepareConfig = PrepareConfig(),
-    file_bytes: int = 128 * 1024 * 1024,
+    file_bytes: int = 512 * 1024 * 1024,
 ) -> PrepareReport:
     """Run the whole job: filter, convert, check, split, shuffle, write.
 
     Two passes over the input.  The first counts kept, skipped and broken samples and
     writes the keys of the kept ones, a narrow table that the split reads instead of the
-    texts.  The second writes both splits in shuffled order, in files of about
+    texts.  The second writes both splits in shuffled order, in files of at most about
     ``file_bytes``.  Nothing is written to the output when a sample breaks the schema.
     """
     valid = pair_validity(pairs, config.min_length, config.max_length)
@@ -89,26 +100,29 @@ def prepare_to_jsonl(
         assert_valid(schema_issues(samples, key))
 
     split = prepare(pairs, key, config, keys)
-    partitions = 1 + (figures["bytes"] or 0) // file_bytes
+    partitions = _partitions(figures["bytes"] or 0, file_bytes, pairs.sparkSession.sparkContext.defaultParallelism)
     shuffled = seeded_layout(split, key, partitions, config.seed, first=("split",))
     write_splits(shuffled.select("messages", "split"), config.out)
 
-    placed = split_exact(keys, key, config.train_split, config.seed)
-    sizes = {r["split"]: r["num_samples"] for r in split_counts(placed).collect()}
-    paths = {name: f"{config.out}/split={name}" for name in (TRAIN, VALIDATION)}
-    for name in set(paths) - set(sizes):
-        # An empty split is an empty folder, so that readers find it.
-        write_jsonl(samples.select("messages").limit(0), paths[name])
+    kept = figures["kept"]
+    n_train = int(kept * config.train_split)
+    sizes = {TRAIN: n_train, VALIDATION: kept - n_train}
+    paths = {name: f"{config.out}/split={name}" for name in sizes}
+    for name, size in sizes.items():
+        if not size:
+            # An empty split is an empty folder, so that readers find it.
+            write_jsonl(samples.select("messages").limit(0), paths[name])
 
+    placed = split_exact(keys, key, config.train_split, config.seed)
     first = smoke_sample(placed.where(F.col("split") == TRAIN).select(key), key, config.preview, config.seed)
     # At most `config.preview` keys.
     shown = samples.join(F.broadcast(first), key, "left_semi")
     return PrepareReport(
         total=figures["total"],
-        kept=figures["kept"],
-        skipped=figures["total"] - figures["kept"],
-        train=sizes.get(TRAIN, 0),
-        val=sizes.get(VALIDATION, 0),
+        kept=kept,
+        skipped=figures["total"] - kept,
+        train=sizes[TRAIN],
+        val=sizes[VALIDATION],
         train_path=paths[TRAIN],
         val_path=paths[VALIDATION],
         preview=preview(shown, key, config.preview, config.seed),
