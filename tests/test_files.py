@@ -90,24 +90,35 @@ def test_eval_prompts_are_numbered_in_input_order(spark, tmp_path):
 
 
 class _Session:
-    """A session on a cluster without a checkpoint folder."""
+    """A session without a checkpoint folder."""
 
     class conf:
         @staticmethod
         def get(name, default):
             return default
 
-    class sparkContext:
-        master = "spark://host:7077"
+    def __init__(self, master):
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
 
-        @staticmethod
-        def getCheckpointDir():
-            return None
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
 
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(_Session, "x")
+        scratch_path(_Session("spark://host:7077"), "x")
+
+
+def test_a_local_session_gets_a_folder_once():
+    session = _Session("local[2]")
+    first, second = scratch_path(session, "x"), scratch_path(session, "x")
+    assert first != second
+    assert first.startswith(session.folder + "/x-") and second.startswith(session.folder + "/x-")
 
 
 def test_scratch_is_under_the_named_folder(spark):
