@@ -61,7 +61,7 @@ def test_eval_prompt(chats):
     got = {r["id"]: (r["model_prompt"], r["error"]) for r in tm.eval_prompts(chats).collect()}
     assert got[1] == ("User: Hi\nAssistant: Yo\nAssistant:", None)
     assert got[2] == ("System: Be brief\nUser: Hi\nAssistant:", None)
-    assert got[4][1] == "list index out of range"
+    assert got[4] == ("\nAssistant:", None)
     assert got[5] == ("asked", None)
     assert got[6] == (None, "Sample must have 'messages' or 'prompt' field")
 

@@ -68,6 +68,15 @@ def test_prompt_table_without_optional_columns(spark):
     assert (row["prompt"], row["metadata"], row["error"]) == ("hello", {}, None)
 
 
+def test_an_empty_message_list_cannot_be_recorded(spark):
+    prompts = spark.createDataFrame(
+        [(1, [], None), (2, [], "p"), (3, [], "")], "sample_id long, messages array<struct<role:string,content:string>>, prompt string"
+    )
+    responses = spark.createDataFrame([(1, "r", None), (2, "r", None), (3, None, "boom")], "sample_id long, response string, error string")
+    rows = {r["sample_id"]: (r["prompt"], r["error"]) for r in tm.assemble_results(prompts, responses).collect()}
+    assert rows == {1: (None, "list index out of range"), 2: ("p", None), 3: (None, "boom")}
+
+
 def test_stateless_steps_accept_a_stream(spark, sf_dir, tmp_path):
     """The narrow operators give the same rows on a file stream as on the table."""
     table = frames.table(spark, sf_dir, "documents").selectExpr("doc_id", "lang as Context", "text as Response")

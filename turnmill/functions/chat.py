@@ -58,11 +58,14 @@ def model_prompt(messages: Column, prompt: Column, template: ChatTemplate | None
 
 
 def prompt_error(messages: Column, prompt: Column) -> Column:
-    """Why a sample cannot be prompted or recorded; NULL when it can."""
+    """Why there is nothing to give a model; NULL when there is."""
+    return F.when(messages.isNull() & prompt.isNull(), F.lit(NO_PROMPT_ERROR))
+
+
+def record_error(messages: Column, prompt: Column) -> Column:
+    """Why an answered sample has no prompt to show: an empty message list and no prompt."""
     no_prompt = F.coalesce(prompt, F.lit("")) == ""
-    return F.when(messages.isNull() & prompt.isNull(), F.lit(NO_PROMPT_ERROR)).when(
-        (F.array_size(messages) == 0) & no_prompt, F.lit(NO_MESSAGE_ERROR)
-    )
+    return F.when((F.array_size(messages) == 0) & no_prompt, F.lit(NO_MESSAGE_ERROR))
 
 
 def shown_prompt(messages: Column, prompt: Column) -> Column:

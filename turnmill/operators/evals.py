@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from turnmill.config import ChatTemplate, GenerationParams
-from turnmill.functions.chat import lead_in, model_prompt, prompt_error, shown_prompt
+from turnmill.functions.chat import lead_in, model_prompt, prompt_error, record_error, shown_prompt
 
 NO_RESPONSE = "no response"
 
@@ -43,7 +43,8 @@ def assemble_results(
     joined = asked.join(got, "sample_id", "left")
 
     unanswered = F.when(F.col("response").isNull(), F.lit(NO_RESPONSE))
-    joined = joined.withColumn("error", F.coalesce("prompt_error", "response_error", unanswered))
+    unshown = record_error(F.col("messages"), F.col("prompt"))
+    joined = joined.withColumn("error", F.coalesce("prompt_error", "response_error", unanswered, unshown))
     ok = F.col("error").isNull()
     no_metadata = F.create_map().cast("map<string,string>")
     settings = F.struct(
