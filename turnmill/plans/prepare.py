@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from turnmill.config import PrepareConfig
 from turnmill.operators.adapt import pairs_to_messages
@@ -19,9 +19,26 @@ def to_samples(pairs: DataFrame, config: PrepareConfig = PrepareConfig()) -> Dat
     return filter_valid(pairs, config.min_length, config.max_length).transform(pairs_to_messages)
 
 
-def _stage(keys: DataFrame) -> DataFrame:
-    # Rebalanced, because a key file per input task would be tiny.
-    return materialize(keys.hint("rebalance"), "keys")
+def _stage(rows: DataFrame, name: str) -> DataFrame:
+    # Rebalanced, because a file of narrow rows per input task would be tiny.
+    return materialize(rows.hint("rebalance"), name)
+
+
+def _ledger(pairs: DataFrame, key: str, config: PrepareConfig) -> DataFrame:
+    """One narrow row per pair: its key, whether it is kept, and size and issues if it is."""
+    valid = pair_validity(pairs, config.min_length, config.max_length)
+    sides = [F.octet_length(F.get("messages", F.lit(i))["content"]) for i in (0, 1)]
+    issues = F.array_size(sample_issues(F.col(key), F.col("messages")))
+    return (
+        pairs.withColumn("_valid", valid)
+        .transform(pairs_to_messages)
+        .select(
+            key,
+            "_valid",
+            F.when(F.col("_valid"), sides[0] + sides[1]).alias("_bytes"),
+            F.when(F.col("_valid"), issues).alias("_broken"),
+        )
+    )
 
 
 def _partitions(size: int, file_bytes: int, cores: int, least: int = 16 * 1024 * 1024) -> int:
@@ -38,7 +55,7 @@ def prepare(pairs: DataFrame, key: str, config: PrepareConfig = PrepareConfig(),
     """
     samples = to_samples(pairs, config).select(key, "messages")
     if keys is None:
-        keys = _stage(filter_valid(pairs, config.min_length, config.max_length).select(key))
+        keys = _stage(filter_valid(pairs, config.min_length, config.max_length).select(key), "keys")
     return split_exact(samples, key, config.train_split, config.seed, keys=keys)
 
 
@@ -70,31 +87,19 @@ def prepare_to_jsonl(
 ) -> PrepareReport:
     """Run the whole job: filter, convert, check, split, shuffle, write.
 
-    Two passes over the input.  The first counts kept, skipped and broken samples and
-    writes the keys of the kept ones, a narrow table that the split reads instead of the
-    texts.  The second writes both splits in shuffled order, in files of at most about
+    Two passes over the input.  The first writes a narrow ledger of keys, sizes and issues,
+    from which all figures and the split are read (a count taken along the way could run
+    twice when a task is repeated).  The second writes both splits in shuffled order, in files of at most about
     ``file_bytes``.  Nothing is written to the output when a sample breaks the schema.
     """
-    valid = pair_validity(pairs, config.min_length, config.max_length)
-    marked = pairs.withColumn("_valid", valid)
-    converted = marked.transform(pairs_to_messages)
-    size = F.octet_length(F.col("messages")[0]["content"]) + F.octet_length(F.col("messages")[1]["content"])
-    broken = F.array_size(sample_issues(F.col(key), F.col("messages")))
-
-    seen = Observation()
-    keys = (
-        converted.observe(
-            seen,
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col("_valid")).alias("kept"),
-            F.sum(F.when(F.col("_valid"), broken)).alias("broken"),
-            F.sum(F.when(F.col("_valid"), size)).alias("bytes"),
-        )
-        .where(F.col("_valid"))
-        .select(key)
-    )
-    keys = _stage(keys)
-    figures = seen.get
+    ledger = _stage(_ledger(pairs, key, config), "ledger")
+    figures = ledger.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if("_valid").alias("kept"),
+        F.sum("_broken").alias("broken"),
+        F.sum("_bytes").alias("bytes"),
+    ).first()
+    keys = ledger.where("_valid").select(key)
     samples = to_samples(pairs, config).select(key, "messages")
     if figures["broken"]:
         assert_valid(schema_issues(samples, key))

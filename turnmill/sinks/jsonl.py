@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    # The count comes out of the writing job itself; no second pass.
+    # Counted in the writing stage itself: no second pass, and each task counts once even if
+    # it is repeated.
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
