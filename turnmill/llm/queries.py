@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from turnmill.llm.bpe_transducer import Ranks, digests, round_trip
 from turnmill.llm.common import table
+from turnmill.llm import oracles
+from turnmill.llm.quality_rules import quality_rules
 from turnmill.llm.token_counts import token_counts
 
 COUNTED_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +21,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), COUNTED_VOCABULARY, limit=1024)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = Ranks(CODED_VOCABULARY, public_tokenizers.PATTERN)
     return digests(round_trip(table(spark, sf_dir, "documents"), ranks))
@@ -26,7 +32,10 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
+    "op7_quality_rules": op7_quality_rules,
     "op9_bpe_round_trip": op9_bpe_round_trip,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_quality_rules": oracles.QUALITY_RULES,
+}
