@@ -50,3 +50,25 @@ def local_path(uri: str) -> str:
     if "://" in uri:
         raise ValueError(f"the shared folder must be mounted on every machine, got {uri}")
     return uri
+
+
+#: Bytes of a text that are cut into words at a time.
+BLOCK = 1 << 20
+
+
+def word_blocks(raw: bytes):
+    """Lists of the words of ``raw``, about BLOCK bytes at a time, so that long texts need little memory.
+
+    ``bytes.split`` splits at exactly the six white-space bytes of WORD.
+    """
+    if len(raw) <= BLOCK:
+        yield raw.split()
+        return
+    start = 0
+    while start < len(raw):
+        end = min(start + BLOCK, len(raw))
+        while end < len(raw) and not raw[end : end + 1].isspace():
+            found = [x for x in (raw.find(c, end, end + 4096) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")) if x >= 0]
+            end = min(found, default=min(end + 4096, len(raw)))
+        yield raw[start:end].split()
+        start = end
