@@ -11,6 +11,7 @@ from turnmill.llm.bpe_transducer import Ranks, digests, round_trip
 from turnmill.llm.common import table
 from turnmill.llm import oracles
 from turnmill.llm.kneser_ney import score_documents
+from turnmill.llm.language_id import identify
 from turnmill.llm.quality_rules import quality_rules
 from turnmill.llm.simhash import near_duplicates
 from turnmill.llm.token_counts import token_counts
@@ -19,6 +20,10 @@ COUNTED_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CODED_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_simhash_classes": op4_simhash_classes,
     "op6_token_counts": op6_token_counts,
