@@ -11,6 +11,7 @@ from turnmill.llm.bpe_transducer import Ranks, digests, round_trip
 from turnmill.llm.chat_format import format_turns, read_back
 from turnmill.llm.common import table
 from turnmill.llm import oracles
+from turnmill.llm.decontaminate import find_leaks
 from turnmill.llm.kneser_ney import score_documents
 from turnmill.llm.language_id import identify
 from turnmill.llm.quality_rules import quality_rules
@@ -40,6 +41,10 @@ def op4_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), COUNTED_VOCABULARY, limit=1024)
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_simhash_classes": op4_simhash_classes,
+    "op5_decontaminate": op5_decontaminate,
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op9_bpe_round_trip": op9_bpe_round_trip,
