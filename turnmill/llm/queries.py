@@ -17,6 +17,7 @@ from turnmill.llm.language_id import identify
 from turnmill.llm.quality_rules import quality_rules
 from turnmill.llm.simhash import near_duplicates
 from turnmill.llm.token_counts import token_counts
+from turnmill.llm.toxicity import score_toxicity
 
 COUNTED_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CODED_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -58,6 +59,10 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(round_trip(table(spark, sf_dir, "documents"), ranks))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op9_bpe_round_trip": op9_bpe_round_trip,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
