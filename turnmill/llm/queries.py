@@ -11,6 +11,7 @@ from turnmill.llm.bpe_transducer import Ranks, digests, round_trip
 from turnmill.llm.chat_format import format_turns, read_back
 from turnmill.llm.common import table
 from turnmill.llm import oracles
+from turnmill.llm.cotraining import classify
 from turnmill.llm.decontaminate import find_leaks
 from turnmill.llm.kneser_ney import score_documents
 from turnmill.llm.language_id import identify
@@ -54,6 +55,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = Ranks(CODED_VOCABULARY, public_tokenizers.PATTERN)
     return digests(round_trip(table(spark, sf_dir, "documents"), ranks))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op8_cotraining": op8_cotraining,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_toxicity": op10_toxicity,
 }
