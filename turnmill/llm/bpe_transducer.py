@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds on what a worker remembers; beyond them it starts anew.
-MAX_TRANSITIONS = 400_000
-MAX_STATES = 100_000
-MAX_PAIRS = 500_000
-MAX_PIECES = 200_000
+MAX_TRANSITIONS = 200_000
+MAX_STATES = 50_000
+MAX_PAIRS = 100_000
+MAX_PIECES = 100_000
 
 #: Texts over so many characters are cut into pre-tokens one by one.
 LONG = 1 << 20
@@ -33,6 +33,9 @@ LONG = 1 << 20
 #: Ids decoded at a time.
 CHUNK = 1 << 16
 
+#: Rows handed back at a time; a batch that comes in may hold ten thousand texts.
+ROWS = 500
+
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Plain merging of a short byte string: lowest rank first, leftmost among equals."""
@@ -245,25 +248,47 @@ def encode_text(text: Column, source: Ranks, spark) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = encoder(shared.value)
         for texts in batches:
-            yield pd.Series([encode(x) for x in texts], dtype=object)
+            for i in range(0, len(texts), ROWS):
+                yield pd.Series([encode(x) for x in texts[i : i + ROWS]], dtype=object)
 
     return F.pandas_udf(run, "array<int>").asNondeterministic()(text)
 
 
+def tokens_of(source: Ranks) -> list[bytes]:
+    token = [b""] * len(source.ranks)
+    for raw, rank in source.ranks.items():
+        token[rank] = raw
+    return token
+
+
 def decode_ids(ids: Column, source: Ranks, spark) -> Column:
     """Text of each array of ids; a NULL array gives the empty text, an unknown id fails."""
     shared = spark.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = [b""] * len(shared.value.ranks)
-        for raw, rank in shared.value.ranks.items():
-            token[rank] = raw
+        token = tokens_of(shared.value)
         for arrays in batches:
-            yield pd.Series(["" if x is None else "".join(decode_stream(x, token)) for x in arrays], dtype=object)
+            for i in range(0, len(arrays), ROWS):
+                own = arrays[i : i + ROWS]
+                yield pd.Series(["" if x is None else "".join(decode_stream(x, token)) for x in own], dtype=object)
 
     return F.pandas_udf(run, "string").asNondeterministic()(ids)
 
 
+def coded_text(text: Column, source: Ranks, spark) -> Column:
+    """Struct of ids and the text decoded from them, by one worker."""
+    shared = spark.sparkContext.broadcast(source)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encode, token = encoder(shared.value), tokens_of(shared.value)
+        for texts in batches:
+            for i in range(0, len(texts), ROWS):
+                ids = [encode(x) for x in texts[i : i + ROWS]]
+                yield pd.DataFrame({"ids": ids, "decoded": ["".join(decode_stream(x, token)) for x in ids]})
+
+    return F.pandas_udf(run, "ids array<int>, decoded string").asNondeterministic()(text)
+
+
 def encode_documents(docs: DataFrame, source: Ranks, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key and ids.
 
@@ -275,8 +300,8 @@ def encode_documents(docs: DataFrame, source: Ranks, key: str = "doc_id", text:
 
 def round_trip(docs: DataFrame, source: Ranks, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``encode_documents`` plus the decoded text."""
-    encoded = encode_documents(docs, source, key, text)
-    return encoded.withColumn("decoded", decode_ids(F.col("ids"), source, docs.sparkSession))
+    coded = docs.select(F.col(key).alias("doc_id"), coded_text(F.col(text), source, docs.sparkSession).alias("of"))
+    return coded.select("doc_id", "of.ids", "of.decoded")
 
 
 def digests(coded: DataFrame) -> DataFrame:
