@@ -13,6 +13,7 @@ encoding of a shorter prefix plus one token, and two neighbours suffice to find
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,10 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds on what a worker remembers; beyond them it starts anew.
-MAX_TRANSITIONS = 200_000
-MAX_STATES = 50_000
-MAX_PAIRS = 100_000
-MAX_PIECES = 100_000
+MAX_TRANSITIONS = 250_000
+MAX_STATES = 150_000
+MAX_PAIRS = 200_000
+MAX_PIECES = 250_000
+
+#: A node that at most so many tokens continue is dropped where none of them can follow.
+FEW = 100
 
 #: Texts over so many characters are cut into pre-tokens one by one.
 LONG = 1 << 20
@@ -37,15 +41,19 @@ CHUNK = 1 << 16
 ROWS = 500
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Plain merging of a short byte string: lowest rank first, leftmost among equals."""
-    parts = [piece[i : i + 1] for i in range(len(piece))]
+def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[list[int], tuple[int, int] | None]:
+    """Plain merging of a short byte string: lowest rank first, leftmost among equals.
+
+    Gives the ids, and the two that the last merge joined.
+    """
+    parts, joined = [piece[i : i + 1] for i in range(len(piece))], None
     while len(parts) > 1:
         rank, at = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
         if rank == len(ranks):
             break
+        joined = (ranks[parts[at]], ranks[parts[at + 1]])
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
+    return [ranks[p] for p in parts], joined
 
 
 class Ranks:
@@ -58,23 +66,29 @@ class Ranks:
         if any(bytes([b]) not in self.ranks for b in range(256)) or max(self.ranks.values()) >= len(self.ranks):
             raise ValueError("the ranks must cover every byte and be dense")
         #: Tokens that merging never reaches: they stand only for a pre-token that equals them.
-        self.unreached = {token: rank for token, rank in self.ranks.items() if merge(token, self.ranks) != [rank]}
+        self.unreached: dict[bytes, int] = {}
+        #: The two tokens that each token is merged from; none for bytes.
+        self.halves: list[tuple[int, int] | None] = [None] * len(self.ranks)
+        for token, rank in self.ranks.items():
+            ids, self.halves[rank] = merge(token, self.ranks)
+            if ids != [rank]:
+                self.unreached[token] = rank
 
 
 class Transducer:
     """Encodes byte strings; see the head of this file.
 
-    A state is (last emitted token, live prefixes); a live prefix is (trie node of the bytes after it,
+    A state is (last emitted token or -1, live prefixes); a live prefix is (trie node of the bytes after it,
     its tokens that are not emitted yet).  The last live prefix is always everything read so far.
     """
 
     ROOT = 0
 
     def __init__(self, source: Ranks):
-        self.ranks = source.ranks
+        self.ranks, self.halves = source.ranks, source.halves
         self.token = [b""] * len(source.ranks)
         self.trie: dict[int, int] = {}  # node << 8 | byte -> node
-        self.inner = {self.ROOT}  # nodes with children
+        self.below: dict[int, list[int]] = {}  # node -> tokens that continue it
         self.ends: dict[int, int] = {}  # node -> token
         nodes = 1
         for token, rank in source.ranks.items():
@@ -84,51 +98,100 @@ class Transducer:
             node = self.ROOT
             for byte in token:
                 step = node << 8 | byte
-                self.inner.add(node)
+                self.below.setdefault(node, []).append(rank)
                 if step not in self.trie:
                     self.trie[step] = nodes
                     nodes += 1
                 node = self.trie[step]
             self.ends[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        #: Nodes that few tokens continue; the others are taken to be open in any context.
+        self.few = {node: tokens for node, tokens in self.below.items() if len(tokens) <= FEW}
+        self.below = self.below.keys()
+        self.open: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.restart()
 
     def restart(self) -> None:
-        first = (None, ((self.ROOT, ()),))
+        first = (-1, ((self.ROOT, ()),))
         self.states = [first]
         self.number = {first: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # state << 8 | byte -> state, emitted tokens
 
-    def adjacent(self, a: int | None, b: int) -> bool:
-        """Whether b may follow a."""
-        if a is None:
+    def adjacent(self, a: int, b: int) -> bool:
+        """Whether b may follow a; anything may come first (-1)."""
+        if a < 0:
             return True
-        known = self.pairs.get((a, b))
+        key = a << 32 | b
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = merge(self.token[a] + self.token[b], self.ranks) == [a, b]
+            known = self.pairs[key] = self._never_joined(a, b)
+        return known
+
+    def _never_joined(self, a: int, b: int) -> bool:
+        """Whether merging leaves the border between a and b alone.
+
+        Goes back in time: undoes the later of the merges that made the two neighbours of the border, and looks
+        each time whether the neighbours would have been merged before either was used up.  Of two merges of
+        the same rank the left one comes first.
+        """
+        token, ranks, halves = self.token, self.ranks, self.halves
+        until_a = until_b = len(ranks)
+        while True:
+            rank = ranks.get(token[a] + token[b])
+            if rank is not None and rank < until_a and rank <= until_b:
+                return False
+            of_a, of_b = halves[a], halves[b]
+            if of_a is not None and (of_b is None or a > b):
+                until_a, a = a, of_a[1]
+            elif of_b is not None:
+                until_b, b = b, of_b[0]
+            else:
+                return True
+
+    def _open(self, last: int, node: int) -> bool:
+        """Whether a token that begins with the node's bytes may follow ``last``."""
+        tokens = self.few.get(node)
+        if tokens is None or last < 0:
+            return True
+        key = last << 32 | node
+        known = self.open.get(key)
+        if known is None:
+            if len(self.open) > MAX_PAIRS:
+                self.open.clear()
+            known = self.open[key] = any(self._never_joined(last, t) for t in tokens)
         return known
 
     def _make(self, step: int) -> tuple[int, tuple[int, ...]]:
         """Determinise one transition."""
         last, live = self.states[step >> 8]
-        byte, kept, whole = step & 255, [], None
+        byte, trie, ends, below, pairs = step & 255, self.trie, self.ends, self.below, self.pairs
+        kept, whole = [], None
         for node, pending in live:
-            node = self.trie.get(node << 8 | byte)
+            node = trie.get(node << 8 | byte)
             if node is None:
                 continue
-            token = self.ends.get(node)
-            if whole is None and token is not None and self.adjacent(pending[-1] if pending else last, token):
-                whole = (*pending, token)
-            if node in self.inner:
+            before = pending[-1] if pending else last
+            if whole is None:
+                token = ends.get(node, -1)
+                if token >= 0:
+                    fits = pairs.get(before << 32 | token)
+                    if fits or fits is None and self.adjacent(before, token):
+                        whole = (*pending, token)
+            if node in below and self._open(before, node):
                 kept.append((node, pending))
-        kept.append((self.ROOT, whole))
-        agreed = 0
-        shortest = min(kept, key=lambda x: len(x[1]))[1]
-        while agreed < len(shortest) and all(p[agreed] == shortest[agreed] for _, p in kept):
-            agreed += 1
-        state = (whole[agreed - 1] if agreed else last, tuple((n, p[agreed:]) for n, p in kept))
+        agreed = len(whole)
+        for _, pending in kept:
+            if len(pending) < agreed:
+                agreed = len(pending)
+            while whole[:agreed] != pending[:agreed]:
+                agreed -= 1
+        if agreed:
+            last = whole[agreed - 1]
+            kept = [(node, pending[agreed:]) for node, pending in kept]
+        kept.append((self.ROOT, whole[agreed:]))
+        state = (last, tuple(kept))
         number = self.number.get(state)
         if number is None:
             number = self.number[state] = len(self.states)
@@ -151,17 +214,18 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Ids per pre-token, remembered for a while."""
+    """Ids per pre-token, as little-endian integers of four bytes, remembered for a while."""
 
     def __init__(self, source: Ranks):
         super().__init__()
-        self.transducer, self.unreached = Transducer(source), source.unreached
+        self.transducer, self.ranks = Transducer(source), source.ranks
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) > MAX_PIECES:
             self.clear()
         raw = piece.encode()
-        ids = [self.unreached[raw]] if raw in self.unreached else self.transducer.encode(raw)
+        rank = self.ranks.get(raw)  # also finds the tokens that merging never reaches
+        ids = array("i", self.transducer.encode(raw) if rank is None else [rank]).tobytes()
         if len(raw) < 100:
             self[piece] = ids
         return ids
@@ -174,11 +238,8 @@ def encoder(source: Ranks):
     def encode(text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
-        out: list[int] = []
         found = pattern.findall(text) if len(text) < LONG else (m.group() for m in pattern.finditer(text))
-        for ids in map(pieces.__getitem__, found):
-            out += ids
-        return np.array(out, np.int32)
+        return np.frombuffer(b"".join(map(pieces.__getitem__, found)), np.int32)
 
     return encode
 
