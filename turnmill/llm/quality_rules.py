@@ -100,6 +100,9 @@ def assess(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text")
         .otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
         .alias("ordered"),
     )
+    # The number is never negative.  Its being there keeps filters on the verdict above the projections; below them
+    # they would repeat all of this for every mention of an array.
+    here = F.monotonically_increasing_id() >= 0
     same = lambda x, k: F.get("ordered", k)["h"] == x["h"]
     twice = F.transform("ordered", lambda x, k: F.when(same(x, k - 1) | same(x, k + 1), x["i"]))
     df = df.select("*", F.sort_array(F.array_compact(twice)).alias("places"))
@@ -107,20 +110,21 @@ def assess(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text")
     df = df.select(
         "row",
         F.array_join("good", "\n").alias("cleaned"),
-        F.size("words").cast("long").alias("n_words"),
+        F.when(here, F.size("words")).cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count(own, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
-        F.aggregate(covered, F.lit(0), lambda a, x: a + x).cast("long").alias("n_repeat_words"),
+        F.when(here, F.aggregate(covered, F.lit(0), lambda a, x: a + x)).cast("long").alias("n_repeat_words"),
         (F.size("lines") - F.size("good")).cast("long").alias("n_failed_lines"),
         F.length(F.array_join("lines", "")).alias("all_chars"),
-        F.length(F.array_join("good", "")).alias("good_chars"),
+        F.when(here, F.length(F.array_join("good", ""))).alias("good_chars"),
     )
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
     )
     df = df.withColumn("base_failed", failed)
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("good_chars") >= rules.min_kept * F.col("all_chars")))
+    enough = F.col("good_chars") >= rules.min_kept * F.col("all_chars")
+    return df.withColumn("kept", ~F.col("base_failed") & enough)
 
 
 def quality_rules(docs: DataFrame, rules: LineRules = LineRules(), key: str = "doc_id", text: str = "text") -> DataFrame:
