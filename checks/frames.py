@@ -37,6 +37,19 @@ def turn_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.turns_to_messages(table(spark, sf_dir, "conversations"))
 
 
+def gapped_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns whose numbers have gaps, some wide."""
+    number = F.col("turn") * F.when(F.col("conv_id") % 2 == 0, 10).otherwise(700) + F.col("conv_id") % 3
+    return table(spark, sf_dir, "conversations").withColumn("turn", number.cast("long"))
+
+
+def mixed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of which some have an unknown role, and some one turn only."""
+    turns, conv, turn = table(spark, sf_dir, "conversations"), F.col("conv_id"), F.col("turn")
+    role = F.when((conv % 5 == 0) & (turn == 1), F.lit("bot")).otherwise(F.col("role"))
+    return turns.where((conv % 4 != 0) | (turn == 0)).withColumn("role", role)
+
+
 def dirty_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns with odd whitespace at the ends, blank lines, and an address, a phone number and an SSN."""
     conv, turn = F.col("conv_id").cast("string"), F.lpad(F.col("turn").cast("string"), 4, "0")

@@ -4,6 +4,7 @@
 _POINTS = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 WS = "(" + " || ".join(f"chr({p})" for p in _POINTS) + ")"
 
+# The three patterns.
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 PHONE = r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b"
 SSN = r"\b\d{3}-\d{2}-\d{4}\b"
@@ -54,8 +55,8 @@ PREPARED = f"""{DOC_PAIRS}, kept AS (
 def messages(source: str) -> str:
     """One row per message with its place in the sample."""
     return f"""msgs AS (
-  SELECT conv_id, CAST(turn // 1000 AS BIGINT) AS segment, role, text AS content, turn,
-         row_number() OVER (PARTITION BY conv_id, turn // 1000 ORDER BY turn) - 1 AS msg_idx
+  SELECT conv_id, role, text AS content, turn,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS msg_idx
   FROM {source})"""
 
 
@@ -80,7 +81,7 @@ RAW = """said AS (
   FROM said)"""
 
 SAMPLE_ISSUES = f"""WITH {messages('conversations')}, per AS (
-  SELECT conv_id, count(*) AS n, arg_min(role, turn) AS r0, arg_max(role, turn) AS r1 FROM msgs GROUP BY conv_id, segment),
+  SELECT conv_id, count(*) AS n, arg_min(role, turn) AS r0, arg_max(role, turn) AS r1 FROM msgs GROUP BY conv_id),
 issues AS (
   SELECT conv_id AS sample_id, CAST(NULL AS BIGINT) AS msg_idx, 'message_count' AS rule,
          'Sample ' || conv_id || ': Expected 2 messages, got ' || n AS detail FROM per WHERE n <> 2
@@ -129,11 +130,14 @@ ORACLES = {
                'user' AS first_role, question, 'assistant' AS second_role, answer FROM prepared""",
     "eval_prompt_file": """SELECT row_number() OVER (ORDER BY conv_id, turn) AS sample_id, text,
         CAST(conv_id AS VARCHAR) AS conv FROM conversations WHERE role = 'user'""",
-    "scan_pairs": f"WITH {DOC_PAIRS} SELECT doc_id, Context, Response FROM doc_pairs",
+    "scan_pairs": f"""WITH {DOC_PAIRS}
+        SELECT doc_id, coalesce(Context, '') AS Context, coalesce(Response, '') AS Response FROM doc_pairs""",
     "source_profile": "SELECT count(*) AS num_rows, 'doc_id,text,lang,source,n_chars' AS columns FROM documents",
-    "turn_messages": f"WITH {messages('conversations')} SELECT conv_id, segment, msg_idx, role, content FROM msgs",
-    "turn_pairs": """WITH t AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
-        FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    "turn_messages": f"WITH {messages('conversations')} SELECT conv_id, msg_idx, role, content FROM msgs",
+    "turn_pairs": """WITH gapped AS (
+          SELECT conv_id, turn * (CASE WHEN conv_id % 2 = 0 THEN 10 ELSE 700 END) + conv_id % 3 AS turn, role, text FROM conversations),
+        t AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
+        FROM gapped WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
         SELECT conv_id, turn, text AS Context, next_text AS Response FROM t
         WHERE role = 'user' AND next_role = 'assistant'""",
     "keyed_rows": "SELECT row_number() OVER (PARTITION BY text) - 1 AS copy, text FROM documents",
@@ -147,19 +151,21 @@ ORACLES = {
         FROM dirty_turns u JOIN dirty_turns a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
         WHERE u.role = 'user' AND a.role = 'assistant'""",
     "messages_concat": f"""WITH {messages('conversations')}
-        SELECT conv_id, segment, {rendered('content', "' '")} FROM msgs GROUP BY ALL""",
+        SELECT conv_id, {rendered('content', "' '")} FROM msgs GROUP BY ALL""",
     "render_plain": f"""WITH {messages('conversations')}
-        SELECT conv_id, segment, {rendered(capital('role') + " || ': ' || content", 'chr(10)')} FROM msgs GROUP BY ALL""",
+        SELECT conv_id, {rendered(capital('role') + " || ': ' || content", 'chr(10)')} FROM msgs GROUP BY ALL""",
     "render_tagged": f"""WITH {messages('conversations')}
-        SELECT conv_id, segment, {rendered(TAGGED, "''")},
+        SELECT conv_id, {rendered(TAGGED, "''")},
                string_agg({TAGGED}, '' ORDER BY turn) || '<|im_start|>assistant' || chr(10) AS prompt
         FROM msgs GROUP BY ALL""",
     "filter_long": rf"""WITH {DOC_PAIRS}, s AS (
           SELECT doc_id, {clean('Context')} AS question, {clean('Response')} AS answer FROM doc_pairs)
         SELECT doc_id, 'user' AS first_role, question, 'assistant' AS second_role, answer FROM s
         WHERE len(regexp_extract_all(question || ' ' || answer, '\S+')) <= 512""",
-    "validate_messages": f"""WITH {messages('conversations')}
-        SELECT conv_id, segment, count(*) >= 2 AND bool_and(role IN ('user', 'assistant', 'system')) AS valid
+    "validate_messages": f"""WITH mixed AS (
+          SELECT conv_id, turn, CASE WHEN conv_id % 5 = 0 AND turn = 1 THEN 'bot' ELSE role END AS role, text
+          FROM conversations WHERE conv_id % 4 <> 0 OR turn = 0), {messages('mixed')}
+        SELECT conv_id, count(*) >= 2 AND bool_and(role IN ('user', 'assistant', 'system')) AS valid
         FROM msgs GROUP BY ALL""",
     "validate_messages_json": f"""WITH {RAW}, parsed AS (
           SELECT conv_id, turn, CASE WHEN json_valid(value) THEN value ELSE '{{}}' END AS value FROM raw), items AS (
@@ -203,9 +209,9 @@ ORACLES = {
     "redact_ssn": f"WITH {DIRTY_TURNS} SELECT conv_id, turn, {redact('text', SSN)} AS text FROM dirty_turns",
     "redact_all": f"SELECT doc_id, {redact('text')} AS text FROM documents",
     "redact_messages": f"""WITH {DIRTY_TURNS}, {messages('dirty_turns')}
-        SELECT conv_id, segment, msg_idx, role, {redact('content')} AS content FROM msgs""",
-    "dataset_stats": f"""WITH {messages('conversations')}, per AS (SELECT conv_id, count(*) AS m FROM msgs GROUP BY conv_id, segment), s AS (
-          SELECT count(*) AS num_samples, CAST(3 AS BIGINT) AS num_features, 'conv_id,segment,messages' AS features,
+        SELECT conv_id, msg_idx, role, {redact('content')} AS content FROM msgs""",
+    "dataset_stats": f"""WITH {messages('conversations')}, per AS (SELECT conv_id, count(*) AS m FROM msgs GROUP BY conv_id), s AS (
+          SELECT count(*) AS num_samples, CAST(2 AS BIGINT) AS num_features, 'conv_id,messages' AS features,
                  avg(m) AS avg_messages_per_sample, min(m) AS min_messages, max(m) AS max_messages FROM per), c AS (
           SELECT avg(length(content)) AS avg_content_length, CAST(min(length(content)) AS BIGINT) AS min_content_length,
                  CAST(max(length(content)) AS BIGINT) AS max_content_length FROM msgs)
@@ -221,6 +227,26 @@ ORACLES = {
     "split_counts": f"WITH {PREPARED} SELECT split, count(*) AS num_samples FROM prepared GROUP BY split",
     "seeded_order": """SELECT row_number() OVER (ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS position, doc_id
         FROM documents""",
+    "split_hash": """SELECT doc_id, CASE WHEN CAST('0x' || left(md5('7:' || CAST(doc_id AS VARCHAR)), 8) AS BIGINT) / 4294967296.0::DOUBLE
+          < 0.9::DOUBLE THEN 'train' ELSE 'val' END AS split FROM documents""",
+    "pii_counts": f"""WITH {DIRTY_TURNS}, hits AS (
+          SELECT k.kind, len(CASE k.kind WHEN 'email' THEN regexp_extract_all(text, '{EMAIL}')
+            WHEN 'phone' THEN regexp_extract_all(text, '{PHONE}') ELSE regexp_extract_all(text, '{SSN}') END) AS n
+          FROM dirty_turns, (VALUES ('email'), ('phone'), ('ssn')) k(kind))
+        SELECT kind, sum(n)::BIGINT AS n_hits, count(*) FILTER (n > 0) AS n_rows FROM hits GROUP BY kind""",
+    "skip_reasons": f"""WITH {DOC_PAIRS}, faults AS (
+          SELECT CASE WHEN coalesce(Context, '') = '' THEN 'context missing' WHEN trim(Context, {WS}) = '' THEN 'context blank'
+            WHEN length(Context) < 10 THEN 'context too short' WHEN length(Context) > 8000 THEN 'context too long'
+            WHEN coalesce(Response, '') = '' THEN 'response missing' WHEN trim(Response, {WS}) = '' THEN 'response blank'
+            WHEN length(Response) < 10 THEN 'response too short' WHEN length(Response) > 8000 THEN 'response too long' END AS reason
+          FROM doc_pairs)
+        SELECT reason, count(*) AS n FROM faults WHERE reason IS NOT NULL GROUP BY reason""",
+    "stored_fields": """SELECT doc_id, text, CASE WHEN doc_id % 10 <> 0 THEN source END AS source,
+          CASE WHEN doc_id % 10 = 0 THEN lang END AS lang, CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split
+        FROM documents""",
+    "prepare_job": f"""WITH {PREPARED}
+        SELECT split, count(*) OVER (PARTITION BY split) AS reported, 'user' AS first_role, question,
+               'assistant' AS second_role, answer FROM prepared""",
     "split_exact": """WITH r AS (SELECT doc_id, text, count(*) OVER () AS n,
             row_number() OVER (ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS pos FROM documents)
         SELECT doc_id, text, CASE WHEN pos <= trunc(n * 0.9::DOUBLE) THEN 'train' ELSE 'val' END AS split FROM r""",
@@ -234,18 +260,19 @@ ORACLES = {
     "prepare_splits": f"""WITH {PREPARED}
         SELECT doc_id, split, 'user' AS first_role, question, 'assistant' AS second_role, answer FROM prepared""",
     "curate_chat": rf"""WITH {DIRTY_TURNS}, {messages('dirty_turns')}, r AS (
-          SELECT conv_id, segment, turn, role, {redact('content')} AS content FROM msgs), s AS (
-          SELECT conv_id, segment, {rendered(capital('role') + " || ': ' || content", 'chr(10)')},
+          SELECT conv_id, turn, role, {redact('content')} AS content FROM msgs), s AS (
+          SELECT conv_id, {rendered(capital('role') + " || ': ' || content", 'chr(10)')},
                  string_agg(content, ' ' ORDER BY turn) AS joined, count(*) AS n,
                  bool_and(role IN ('user', 'assistant', 'system')) AS roles_ok
-          FROM r GROUP BY conv_id, segment)
-        SELECT conv_id, segment, text FROM s
+          FROM r GROUP BY conv_id)
+        SELECT conv_id, text FROM s
         WHERE n >= 2 AND roles_ok AND len(regexp_extract_all(joined, '\S+')) <= 512""",
     "eval_prompts": f"WITH {EVAL_TURNS} SELECT sample_id, model_prompt, prompt_error AS error FROM prompts",
     "eval_results": f"WITH {EVAL_TURNS} SELECT * FROM results",
     "eval_preview": f"""WITH {EVAL_TURNS} SELECT sample_id, left(prompt, 100) || '...' AS prompt,
           left(response, 150) || '...' AS response FROM results WHERE error IS NULL""",
     "eval_summary": f"WITH {EVAL_TURNS} SELECT count(*) AS total, count(error) AS errors FROM results",
+    "eval_by_category": f"WITH {EVAL_TURNS} SELECT category, count(*) AS n FROM results WHERE error IS NULL GROUP BY category",
     "first_responses": f"""WITH {EVAL_TURNS} SELECT sample_id, prompt, response FROM (
           SELECT * FROM results ORDER BY sample_id LIMIT 3) WHERE error IS NULL""",
 }

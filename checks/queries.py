@@ -60,9 +60,14 @@ def eval_prompt_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pairs of the split to use, out of two."""
-    pairs = frames.doc_pairs(spark, sf_dir)
-    return tm.pick_split({"other": frames.dirty_turns(spark, sf_dir), "train": pairs})
+    """Pairs written as JSON and as CSV, read back, and the split to use out of two."""
+    pairs, paths = frames.doc_pairs(spark, sf_dir), {f: scratch_path(spark, f"pairs-{f}") for f in ("json", "csv")}
+    odd = F.col("doc_id") % 2 == 1
+    pairs.where(~odd).write.json(paths["json"])
+    pairs.where(odd).write.csv(paths["csv"], header=True, quoteAll=True, escape='"')
+    sides = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("Context", "Response")]
+    read = {f: tm.read_pairs(spark, path, f).select(F.col("doc_id").cast("long"), *sides) for f, path in paths.items()}
+    return tm.pick_split({"other": read["csv"], "train": read["json"].unionByName(read["csv"])})
 
 
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,11 +76,11 @@ def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_per_message(frames.turn_samples(spark, sf_dir), "conv_id", "segment")
+    return _one_per_message(frames.turn_samples(spark, sf_dir), "conv_id")
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tm.turns_to_pairs(frames.table(spark, sf_dir, "conversations"))
+    return tm.turns_to_pairs(frames.gapped_turns(spark, sf_dir))
 
 
 def keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,19 +111,19 @@ def pairs_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = frames.turn_samples(spark, sf_dir)
-    return samples.select("conv_id", "segment", tm.concat_messages(_messages()).alias("text"))
+    return samples.select("conv_id", tm.concat_messages(_messages()).alias("text"))
 
 
 def render_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = frames.turn_samples(spark, sf_dir)
-    return samples.select("conv_id", "segment", tm.render_chat(_messages()).alias("text"))
+    return samples.select("conv_id", tm.render_chat(_messages()).alias("text"))
 
 
 def render_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = frames.turn_samples(spark, sf_dir)
     return samples.select(
         "conv_id",
-        "segment",
+
         tm.render_chat(_messages(), tm.CHATML).alias("text"),
         tm.render_chat(_messages(), tm.CHATML, add_generation_prompt=True).alias("prompt"),
     )
@@ -130,8 +135,8 @@ def filter_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = frames.turn_samples(spark, sf_dir)
-    return samples.select("conv_id", "segment", tm.validate_messages(_messages()).alias("valid"))
+    samples = tm.turns_to_messages(frames.mixed_turns(spark, sf_dir))
+    return samples.select("conv_id", tm.validate_messages(_messages()).alias("valid"))
 
 
 def validate_messages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +190,7 @@ def redact_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def redact_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = frames.dirty_samples(spark, sf_dir).transform(tm.redact_messages)
-    return _one_per_message(samples, "conv_id", "segment")
+    return _one_per_message(samples, "conv_id")
 
 
 def _flat_stats(stats: DataFrame) -> DataFrame:
@@ -213,11 +218,49 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seeded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shuffled order, made visible as a position."""
+    """The shuffled order, written as lines and made visible as their numbers."""
+    path = scratch_path(spark, "ordered")
+    docs = frames.table(spark, sf_dir, "documents").select("doc_id")
+    tm.write_jsonl(tm.seeded_order(docs, "doc_id", seed=7), path)
+    lines = spark.read.schema("doc_id long").json(path).select(
+        "doc_id", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")
+    )
+    return tm.number_rows(lines, "file", "line", name="position").drop("file", "line")
+
+
+def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = frames.table(spark, sf_dir, "documents").select("doc_id")
-    ordered = tm.seeded_order(docs, "doc_id", seed=7).select("doc_id")
-    place = F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string"))).alias("h")
-    return tm.number_rows(ordered.select("doc_id", place), "h", "doc_id", name="position").drop("h")
+    return tm.split_hash(docs, "doc_id", 0.9, seed=7)
+
+
+def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.pii_counts(frames.dirty_turns(spark, sf_dir))
+
+
+def skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.doc_pairs(spark, sf_dir).transform(tm.skip_reasons)
+
+
+def eval_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.eval_by_category(frames.eval_results(spark, sf_dir))
+
+
+def stored_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored splits with different columns, loaded with all their fields."""
+    docs, path = frames.table(spark, sf_dir, "documents"), scratch_path(spark, "fields")
+    late = F.col("doc_id") % 10 == 0
+    tm.write_jsonl(docs.where(~late).select("doc_id", "source", "text"), f"{path}/train")
+    tm.write_jsonl(docs.where(late).select("doc_id", "lang", "text"), f"{path}/validation")
+    return tm.union_splits(tm.load_splits(spark, {s: f"{path}/{s}" for s in ("train", "validation")}))
+
+
+def prepare_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with its output read back, and the sizes that it reports."""
+    config = tm.PrepareConfig(out=scratch_path(spark, "job"))
+    report = tm.prepare_to_jsonl(frames.doc_pairs(spark, sf_dir), "doc_id", config)
+    splits = tm.load_splits(spark, {"train": report.train_path, "val": report.val_path})
+    size = F.when(F.col("split") == "train", report.train).otherwise(report.val).cast("long").alias("reported")
+    return _two_sides(tm.union_splits(splits).withColumn("reported", size), "split", "reported")
 
 
 def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +286,7 @@ def prepare_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curate_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Well-formed, redacted, bounded, rendered conversations."""
     samples = frames.dirty_samples(spark, sf_dir)
-    return tm.curate(samples, max_length=512).select("conv_id", "segment", "text")
+    return tm.curate(samples, max_length=512).select("conv_id", "text")
 
 
 def eval_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,6 +357,11 @@ QUERIES = {
         split_counts,
         seeded_order,
         split_exact,
+        split_hash,
+        pii_counts,
+        skip_reasons,
+        stored_fields,
+        prepare_job,
         preview,
         smoke_sample,
         prepare_splits,
@@ -322,6 +370,7 @@ QUERIES = {
         eval_results,
         eval_preview,
         eval_summary,
+        eval_by_category,
         first_responses,
     )
 }

@@ -19,10 +19,31 @@ def test_messages_in_turn_order(spark):
     assert got == {1: [("system", "a"), ("assistant", "b"), ("user", "c")], 2: [("user", None)]}
 
 
-def test_a_huge_conversation_goes_on_in_segments(spark):
-    rows = tm.turns_to_messages(turns(spark, 2500)).orderBy("segment").collect()
-    assert [len(r["messages"]) for r in rows] == [1000, 1000, 500]
-    assert [m["content"] for r in rows for m in r["messages"]] == [f"t{i}" for i in range(2500)]
+def test_a_long_conversation_stays_whole(spark):
+    (row,) = tm.turns_to_messages(turns(spark, 2500)).collect()
+    assert [m["content"] for m in row["messages"]] == [f"t{i}" for i in range(2500)]
+    cut = tm.turns_to_messages(turns(spark, 2500), max_turns=1000).orderBy("segment").collect()
+    assert [len(r["messages"]) for r in cut] == [1000, 1000, 500]
+
+
+def test_turn_numbers_need_not_be_dense(spark):
+    seam = turns(spark, 4).withColumn("turn", F.col("turn") + 998)
+    far = turns(spark, 4).selectExpr("conv_id + 1 as conv_id", "turn * 86400000000 - 5 as turn", "role", "text")
+    got = {r["conv_id"]: [m["content"] for m in r["messages"]] for r in tm.turns_to_messages(seam.union(far)).collect()}
+    assert got == {1: ["t0", "t1", "t2", "t3"], 2: ["t0", "t1", "t2", "t3"]}
+    pairs = tm.turns_to_pairs(seam.union(far)).select("conv_id", "Context", "Response").collect()
+    assert sorted(map(tuple, pairs)) == [(c, a, b) for c in (1, 2) for a, b in (("t0", "t1"), ("t2", "t3"))]
+
+
+def test_curate_loses_no_turn(spark):
+    samples = tm.turns_to_messages(turns(spark, 1001))
+    (row,) = tm.curate(samples, max_length=10_000).collect()
+    assert len(row["messages"]) == 1001
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([("a",), ("a",)], "`a.b` string")
+    assert len({r["row_key"] for r in tm.with_row_key(df).collect()}) == 2
 
 
 def test_pairs_need_a_direct_answer(spark):

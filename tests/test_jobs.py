@@ -4,6 +4,7 @@ import pytest
 
 import turnmill as tm
 from checks import frames
+from turnmill.operators.evals import unmatched_responses
 
 
 def test_prepare_job(spark, sf_dir, tmp_path):
@@ -31,6 +32,42 @@ def test_prepare_job(spark, sf_dir, tmp_path):
     assert set(first) <= set(order)
 
 
+PAIRS = "id int, Context string, Response string"
+
+
+@pytest.mark.parametrize("ids", [[1, 1, 2], [1, None, 2]])
+def test_prepare_needs_unique_keys(spark, tmp_path, ids):
+    pairs = spark.createDataFrame([(i, "question one", "answer number one") for i in ids], PAIRS)
+    with pytest.raises(ValueError):
+        tm.prepare_to_jsonl(pairs, "id", tm.PrepareConfig(out=str(tmp_path / "o")))
+    assert not (tmp_path / "o").exists()
+
+
+def test_prepare_replaces_nothing_else(spark, tmp_path):
+    out = tmp_path / "o"
+    out.mkdir()
+    (out / "notes.txt").write_text("mine")
+    pairs = spark.createDataFrame([(i, f"question {i} one", "answer number one") for i in range(40)], PAIRS)
+    for _ in range(2):
+        report = tm.prepare_to_jsonl(pairs, "id", tm.PrepareConfig(out=str(out), train_split=0.5))
+        assert (report.train, report.val) == (20, 20) and tm.read_jsonl(spark, report.train_path).count() == 20
+    assert (out / "notes.txt").read_text() == "mine"
+
+
+def test_prepare_refuses_to_write_over_its_input(spark, tmp_path):
+    table = str(tmp_path / "o" / "in")
+    spark.createDataFrame([(1, "question one", "answer number one")], PAIRS).write.parquet(table)
+    with pytest.raises(ValueError):
+        tm.prepare_to_jsonl(spark.read.parquet(table), "id", tm.PrepareConfig(out=str(tmp_path / "o")))
+    assert spark.read.parquet(table).count() == 1
+
+
+def test_responses_that_cannot_be_placed(spark):
+    prompts = spark.createDataFrame([(1, "a"), (2, "b")], "sample_id long, prompt string")
+    responses = spark.createDataFrame([(1, "x", None), (1, "y", None), (9, "z", None)], "sample_id long, response string, error string")
+    assert sorted(map(tuple, unmatched_responses(prompts, responses).collect())) == [(1, 2), (9, 1)]
+
+
 def test_prepare_with_an_empty_split(spark, tmp_path):
     pairs = spark.createDataFrame([(1, "question one", "answer number one")], "id int, Context string, Response string")
     report = tm.prepare_to_jsonl(pairs, "id", tm.PrepareConfig(out=str(tmp_path / "o"), train_split=1.0))

@@ -103,3 +103,18 @@ def test_empty_and_missing_message_arrays_stay(spark):
         " union all select cast(null as array<struct<role:string,content:string>>)"
     )
     assert sorted((r["messages"] for r in df.transform(tm.redact_messages).collect()), key=str) == [None, []]
+
+
+def test_a_long_run_of_address_characters_takes_seconds(spark):
+    text = "a." * 500_000 + " @ b@c.de"
+    assert redact(spark, [text]) == ["a." * 500_000 + " @ [REDACTED]"]
+
+
+DOTTED = st.text(alphabet="a1_.%+-@ é|\n", max_size=24).map(lambda x: x + "@b.co")
+PYTHON = re.compile(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b")
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(DOTTED, min_size=100, max_size=200))
+def test_addresses_as_in_python(spark, texts):
+    assert redact(spark, texts, kinds=["email"]) == [PYTHON.sub("[REDACTED]", t) for t in texts]

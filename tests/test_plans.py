@@ -3,31 +3,31 @@
 import pytest
 
 import turnmill as tm
-from __spark_entry__ import queries
+from checks.queries import QUERIES
 from checks import frames
 from tests.plantools import main_nodes, plan_text as plan
 from turnmill.functions import pii
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for node in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 
 
-NARROW = ["filter_valid", "redact_all", "clean_text", "filter_long", "scan_pairs", "prepare_splits", "split_exact", "validate_messages_json"]
+NARROW = ["filter_valid", "redact_all", "clean_text", "filter_long", "prepare_splits", "split_exact", "validate_messages_json"]
 
 
 @pytest.mark.parametrize("name", NARROW)
 def test_narrow_queries_do_not_shuffle(spark, sf_dir, name):
-    nodes = main_nodes(queries()[name](spark, sf_dir))
+    nodes = main_nodes(QUERIES[name](spark, sf_dir))
     assert any(n.startswith("Scan parquet") for n in nodes) and "Exchange" not in nodes
 
 
 @pytest.mark.parametrize("name", ["preview", "smoke_sample", "schema_report", "first_responses"])
 def test_first_rows_are_a_top_n(spark, sf_dir, name):
-    assert "TakeOrderedAndProject" in plan(queries()[name](spark, sf_dir))
+    assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, sf_dir))
 
 
 def test_redaction_runs_once_in_curate(spark, sf_dir):
@@ -51,6 +51,10 @@ def test_split_reads_only_the_key_for_the_cut(spark, sf_dir):
     assert schemas.count("ReadSchema: struct<doc_id:bigint>") == len(schemas) - 1
 
 
-def test_pairs_join_on_the_unique_turn(spark, sf_dir):
-    text = plan(queries()["turn_pairs"](spark, sf_dir))
-    assert "Window" not in text
+def test_pairs_order_only_the_ends_of_stretches_per_conversation(spark, sf_dir):
+    """The one window over whole conversations reads an aggregate, a row per stretch."""
+    text = plan(QUERIES["turn_pairs"](spark, sf_dir))
+    whole = [line for line in text.splitlines() if "Window [" in line and "_first" in line]
+    inside = [line for line in text.splitlines() if "Window [" in line and "_first" not in line]
+    assert whole and inside and all("_block" in line.split("windowspecdefinition")[1] for line in inside)
+

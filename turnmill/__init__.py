@@ -7,12 +7,12 @@ from turnmill.functions.pairs import is_valid_pair, pair_messages
 from turnmill.functions.pii import redact_pii
 from turnmill.functions.text import clean_text
 from turnmill.operators.adapt import pairs_to_messages, turns_to_messages, turns_to_pairs, with_row_key
-from turnmill.operators.evals import assemble_results, eval_preview, eval_prompts, eval_summary, first_responses
-from turnmill.operators.filters import filter_long, filter_valid, skip_counts, word_count
+from turnmill.operators.evals import assemble_results, eval_by_category, eval_preview, eval_prompts, eval_summary, first_responses, unmatched_responses
+from turnmill.operators.filters import filter_long, filter_valid, skip_counts, skip_reasons, word_count
 from turnmill.operators.issues import InvalidSamples, assert_valid, schema_issues, schema_issues_json, schema_report
 from turnmill.operators.order import number_rows, preview, seeded_layout, seeded_order, smoke_sample
-from turnmill.operators.redact import redact_messages
-from turnmill.operators.split import split_counts, split_exact
+from turnmill.operators.redact import pii_counts, redact_messages
+from turnmill.operators.split import split_counts, split_exact, split_hash
 from turnmill.operators.stats import dataset_stats, source_profile
 from turnmill.plans.curate import curate
 from turnmill.plans.evaluate import write_results

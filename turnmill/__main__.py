@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 from turnmill import schemas
 from turnmill.config import GenerationParams, PrepareConfig
-from turnmill.operators.adapt import with_row_key
+from turnmill.operators.adapt import field, with_row_key
 from turnmill.operators.evals import eval_summary, first_responses
 from turnmill.operators.stats import dataset_stats
 from turnmill.plans.evaluate import results_of, write_results
@@ -51,7 +51,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def run_prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     key, pairs = args.key, read_pairs(spark, args.pairs, args.format)
     if key is None:
-        key, pairs = "row_key", with_row_key(pairs.select("Context", "Response"))
+        key, pairs = "row_key", with_row_key(pairs.select(*(field(pairs, c).alias(c) for c in ("Context", "Response"))))
     report = prepare_to_jsonl(pairs, key, _settings(args, PrepareConfig))
     print(report.summary())
     report.preview.orderBy("sample_no", "msg_idx").show(2 * args.preview, truncate=False)

@@ -1,6 +1,6 @@
 """Between the shapes chat data comes in: pairs, turns, message arrays."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnmill.functions.pairs import pair_messages
 
@@ -33,32 +33,63 @@ def pairs_to_messages(df: DataFrame) -> DataFrame:
     return df.withColumn("messages", messages).drop("Context", "Response")
 
 
-def turns_to_messages(df: DataFrame, max_turns: int = 1000) -> DataFrame:
-    """Turn rows ``(conv_id, turn, role, text)`` to ``(conv_id, segment, messages)``.
+def _block(turns: int) -> Column:
+    return F.floor(F.col("turn") / F.lit(int(turns))).alias("_block")
 
-    ``segment`` counts stretches of ``max_turns`` turn numbers, so that a group is never
-    larger than that however long one conversation is.  Nothing is left out: a longer
-    conversation continues in the row of its next segment.
+
+def turns_to_messages(df: DataFrame, max_turns: int | None = None, block: int = 1000) -> DataFrame:
+    """Turn rows ``(conv_id, turn, role, text)`` to one row ``(conv_id, messages)`` per conversation.
+
+    Turns are gathered and sorted per stretch of ``block`` turn numbers first; the stretches of a
+    conversation are then put in order and joined, so no task sorts the loose turns of a long one.
+    With ``max_turns`` a longer conversation is cut into rows ``(conv_id, segment, messages)`` of
+    that many messages.
     """
-    segment = F.expr(f"turn div {int(max_turns)}").alias("segment")
     turn = F.struct("turn", F.col("role"), F.col("text").alias("content"))
-    ordered = F.sort_array(F.collect_list(turn))
-    return df.groupBy("conv_id", segment).agg(
-        F.transform(ordered, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages")
+    parts = df.groupBy("conv_id", _block(block)).agg(F.sort_array(F.collect_list(turn)).alias("_turns"))
+    whole = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("_block", "_turns"))).alias("_parts"))
+    plain = F.transform(
+        F.flatten(F.col("_parts")["_turns"]), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))
     )
+    samples = whole.select("conv_id", plain.alias("messages"))
+    if max_turns is None:
+        return samples
+    starts = F.sequence(F.lit(0), F.array_size("messages") - 1, F.lit(int(max_turns)))
+    cut = F.transform(starts, lambda at: F.slice("messages", at + 1, F.lit(int(max_turns))))
+    return samples.select("conv_id", F.posexplode(cut).alias("segment", "messages"))
 
 
-def turns_to_pairs(df: DataFrame) -> DataFrame:
-    """Each user turn with the assistant turn right after it.
+def turns_to_pairs(df: DataFrame, block: int = 1000) -> DataFrame:
+    """Each user turn with the turn after it, if that is the assistant's; numbers may have gaps.
 
-    An equi-join on the unique ``(conv_id, turn)``: every row is shuffled once and a huge
-    conversation spreads over all partitions, which a window per conversation would not do.
+    The next turn is found inside stretches of ``block`` turn numbers, over which a huge
+    conversation spreads.  The last turn of a stretch goes with the first one of the next, and
+    only these ends, one row per stretch, are ordered per conversation.
     """
-    asked = df.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("Context"))
-    answered = df.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("Response")
+    turns = df.select("conv_id", "turn", "role", "text", _block(block))
+    inside = Window.partitionBy("conv_id", "_block").orderBy("turn")
+    following = turns.select(
+        "conv_id",
+        "turn",
+        "role",
+        F.col("text").alias("Context"),
+        F.lead("role").over(inside).alias("_role"),
+        F.lead("text").over(inside).alias("Response"),
+    )
+    end = F.struct("turn", "role", "text")
+    ends = turns.groupBy("conv_id", "_block").agg(F.min(end).alias("_first"), F.max(end).alias("_last"))
+    across = Window.partitionBy("conv_id").orderBy("_block")
+    after = F.lead("_first").over(across)
+    seams = ends.select("conv_id", "_last", after.alias("_next")).select(
+        "conv_id",
+        "_last.turn",
+        "_last.role",
+        F.col("_last.text").alias("Context"),
+        F.col("_next.role").alias("_role"),
+        F.col("_next.text").alias("Response"),
     )
-    return asked.join(answered, ["conv_id", "turn"])
+    pairs = following.unionByName(seams).where((F.col("role") == "user") & (F.col("_role") == "assistant"))
+    return pairs.select("conv_id", "turn", "Context", "Response")
 
 
 def with_row_key(df: DataFrame, name: str = "row_key", chunk: int = 10_000) -> DataFrame:
@@ -68,7 +99,7 @@ def with_row_key(df: DataFrame, name: str = "row_key", chunk: int = 10_000) -> D
     counted with map-side combine first, so a row with very many copies is no hot group,
     and the copies are made again in chunks on many tasks.
     """
-    columns = df.columns
+    columns = named(df)
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     counted = counted.withColumn("_hash", F.md5(F.to_json(F.struct(*columns))))
 

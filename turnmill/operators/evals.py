@@ -33,10 +33,11 @@ def assemble_results(
     params: GenerationParams = GenerationParams(),
     template: ChatTemplate | None = None,
 ) -> DataFrame:
-    """One result row per prompt; a failed sample has only ``sample_id`` and ``error``.
+    """One result row per prompt and response; a failed sample has only ``sample_id`` and ``error``.
 
-    ``responses`` is ``(sample_id, response, error)``.  Both sides are unique in
-    ``sample_id``, so the join has no hot key.
+    ``responses`` is ``(sample_id, response, error)``.  Both sides should be unique in
+    ``sample_id``: a second response gives a second row, and one without a prompt is left out.
+    ``unmatched_responses`` lists both.
     """
     asked = eval_prompts(prompts, template).withColumnRenamed("error", "prompt_error")
     got = responses.select("sample_id", "response", F.col("error").alias("response_error"))
@@ -80,6 +81,23 @@ def eval_summary(results: DataFrame) -> DataFrame:
     )
 
 
+def eval_by_category(results: DataFrame, name: str = "category") -> DataFrame:
+    """Answered results per value of one metadata field; NULL where it is missing."""
+    answered = results.where(F.col("error").isNull())
+    category = F.try_element_at("metadata", F.lit(name)).alias("category")
+    return answered.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
+
+
+def unmatched_responses(prompts: DataFrame, responses: DataFrame) -> DataFrame:
+    """Responses that ``assemble_results`` can't place: without a prompt, or several for one.
+
+    One row per such ``sample_id`` with the number of its responses.
+    """
+    counted = responses.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_responses"))
+    known = prompts.select("sample_id", F.lit(True).alias("_known")).distinct()
+    return counted.join(known, "sample_id", "left").where((F.col("n_responses") > 1) | F.col("_known").isNull()).drop("_known")
+
+
 def first_responses(results: DataFrame, n: int = 3) -> DataFrame:
     """The answered ones among the first ``n`` results."""
     return results.orderBy("sample_id").limit(n).where(F.col("error").isNull()).select("sample_id", "prompt", "response")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill.functions.binding import bind
 from turnmill.functions.pairs import is_valid_pair
+from turnmill.functions.text import WHITESPACE, has_text
 from turnmill.operators.adapt import compute_once, field
 
 
@@ -25,9 +26,27 @@ def skip_counts(df: DataFrame, min_len: int = 10, max_len: int = 8000) -> DataFr
     return df.agg(F.count_if(valid).alias("kept"), F.count_if(~valid).alias("skipped"))
 
 
+def skip_reasons(df: DataFrame, min_len: int = 10, max_len: int = 8000) -> DataFrame:
+    """Skipped pairs per reason: the first side at fault, and what is wrong with it."""
+
+    def fault(name: str) -> Column:
+        text = field(df, name)
+        label = name.lower()
+        size = F.length(text)
+        return (
+            F.when(text.isNull() | (size == 0), F.lit(f"{label} missing"))
+            .when(~has_text(text), F.lit(f"{label} blank"))
+            .when(size < min_len, F.lit(f"{label} too short"))
+            .when(size > max_len, F.lit(f"{label} too long"))
+        )
+
+    reason = F.coalesce(fault("Context"), fault("Response")).alias("reason")
+    return df.select(reason).where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words, the default length measure."""
-    return F.regexp_count(text, F.lit(r"\S+"))
+    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+"))
 
 
 def within_length(

@@ -53,6 +53,17 @@ def split_exact(
     return df.withColumn("split", F.when(is_train, F.lit(TRAIN)).otherwise(F.lit(VALIDATION)))
 
 
+def split_hash(df: DataFrame, key: str, train_fraction: float = 0.97, seed: int = 42) -> DataFrame:
+    """Add ``split`` by a threshold on the order hash: about that share is train.
+
+    A row's split depends on its own key only, so it stays when rows are added.  No pass over the
+    keys; a NULL key is validation.
+    """
+    share = F.conv(F.left(order_hash(F.col(key), seed), F.lit(8)), 16, 10).cast("long") / F.lit(float(1 << 32))
+    is_train = F.coalesce(share < F.lit(float(train_fraction)), F.lit(False))
+    return df.withColumn("split", F.when(is_train, F.lit(TRAIN)).otherwise(F.lit(VALIDATION)))
+
+
 def split_counts(df: DataFrame) -> DataFrame:
     """Number of rows per split."""
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("num_samples"))

@@ -1,12 +1,13 @@
 """From stored chat samples to safe, bounded, rendered text."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill.config import PLAIN, ChatTemplate
 from turnmill.functions.chat import render_chat
 from turnmill.functions.checks import validate_messages
+from turnmill.functions.pii import KINDS, PLACEHOLDER
 from turnmill.operators.adapt import compute_once
 from turnmill.operators.filters import within_length, word_count
 from turnmill.operators.redact import redact_messages
@@ -17,6 +18,9 @@ def curate(
     counter: Callable[[Column], Column] = word_count,
     max_length: int = 2048,
     template: ChatTemplate = PLAIN,
+    special_tokens: int = 0,
+    placeholder: str = PLACEHOLDER,
+    kinds: Sequence[str] = KINDS,
 ) -> DataFrame:
     """Keep well-formed samples, redact them, drop the too long ones and add ``text``.
 
@@ -25,7 +29,7 @@ def curate(
     return (
         compute_once(df, "messages", F.col("messages"))
         .where(validate_messages(F.col("messages")))
-        .transform(redact_messages)
-        .where(within_length(F.col("messages"), counter, max_length))
+        .transform(redact_messages, placeholder=placeholder, kinds=kinds)
+        .where(within_length(F.col("messages"), counter, max_length, special_tokens))
         .withColumn("text", render_chat(F.col("messages"), template))
     )

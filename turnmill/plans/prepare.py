@@ -1,8 +1,9 @@
 """From pairs to a checked, shuffled and split chat dataset."""
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from turnmill.config import PrepareConfig
 from turnmill.operators.adapt import pairs_to_messages
@@ -11,6 +12,7 @@ from turnmill.operators.issues import assert_valid, sample_issues, schema_issues
 from turnmill.operators.order import preview, seeded_layout, smoke_sample
 from turnmill.operators.split import TRAIN, VALIDATION, split_exact
 from turnmill.sinks.jsonl import write_jsonl, write_splits
+from turnmill.sources.jsonl import read_jsonl
 from turnmill.storage import materialize
 
 
@@ -88,17 +90,25 @@ def prepare_to_jsonl(
     """Run the whole job: filter, convert, check, split, shuffle, write.
 
     Two passes over the input.  The first writes a narrow ledger of keys, sizes and issues,
-    from which all figures and the split are read (a count taken along the way could run
-    twice when a task is repeated).  The second writes both splits in shuffled order, in files of at most about
-    ``file_bytes``.  Nothing is written to the output when a sample breaks the schema.
+    from which the figures and the split are read.  The second writes both splits in shuffled
+    order, in files of at most about ``file_bytes``, and counts their rows as it does so.
+    Nothing is written to the output when a key is NULL or repeated, when a sample breaks the
+    schema, or when ``out`` holds an input file.
     """
+    _refuse_inputs_inside(pairs, config.out)
     ledger = _stage(_ledger(pairs, key, config), "ledger")
     figures = ledger.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("_valid").alias("kept"),
+        F.count_if(F.col(key).isNull()).alias("keyless"),
         F.sum("_broken").alias("broken"),
         F.sum("_bytes").alias("bytes"),
     ).first()
+    if figures["keyless"]:
+        raise ValueError(f"{figures['keyless']} rows have no {key}")
+    repeated = ledger.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).collect()
+    if repeated:
+        raise ValueError(f"{key} must be unique: {repeated[0][key]} occurs {repeated[0]['n']} times")
     keys = ledger.where("_valid").select(key)
     samples = to_samples(pairs, config).select(key, "messages")
     if figures["broken"]:
@@ -107,11 +117,13 @@ def prepare_to_jsonl(
     split = prepare(pairs, key, config, keys)
     partitions = _partitions(figures["bytes"] or 0, file_bytes, pairs.sparkSession.sparkContext.defaultParallelism)
     shuffled = seeded_layout(split, key, partitions, config.seed, first=("split",))
-    write_splits(shuffled.select("messages", "split"), config.out)
+    seen = Observation()
+    counted = shuffled.observe(seen, *(F.count_if(F.col("split") == name).alias(name) for name in (TRAIN, VALIDATION)))
+    written = write_splits(counted.select("messages", "split"), config.out)
+    sizes = {name: seen.get[name] for name in (TRAIN, VALIDATION)}
+    if written != figures["kept"] or sum(sizes.values()) != written:
+        raise RuntimeError(f"{figures['kept']} pairs are usable, {written} were written")
 
-    kept = figures["kept"]
-    n_train = int(kept * config.train_split)
-    sizes = {TRAIN: n_train, VALIDATION: kept - n_train}
     paths = {name: f"{config.out}/split={name}" for name in sizes}
     for name, size in sizes.items():
         if not size:
@@ -120,15 +132,33 @@ def prepare_to_jsonl(
 
     placed = split_exact(keys, key, config.train_split, config.seed)
     first = smoke_sample(placed.where(F.col("split") == TRAIN).select(key), key, config.preview, config.seed)
-    # At most `config.preview` keys.
-    shown = samples.join(F.broadcast(first), key, "left_semi")
     return PrepareReport(
         total=figures["total"],
-        kept=kept,
-        skipped=figures["total"] - kept,
+        kept=figures["kept"],
+        skipped=figures["total"] - figures["kept"],
         train=sizes[TRAIN],
         val=sizes[VALIDATION],
         train_path=paths[TRAIN],
         val_path=paths[VALIDATION],
-        preview=preview(shown, key, config.preview, config.seed),
+        preview=preview(_first_written(first, paths[TRAIN], key, samples), key, config.preview, config.seed),
     )
+
+
+def _refuse_inputs_inside(pairs: DataFrame, out: str) -> None:
+    """Writing must not replace what is still to be read."""
+    bare = lambda path: re.sub(r"^file:/+", "/", path).rstrip("/")
+    inside = [path for path in pairs.inputFiles() if bare(path).startswith(bare(out) + "/")]
+    if inside:
+        raise ValueError(f"the output folder holds the input file {inside[0]}")
+
+
+def _first_written(first: DataFrame, path: str, key: str, samples: DataFrame) -> DataFrame:
+    """The first written samples, by their keys in order: read from the first files, not from the pairs."""
+    spark, wanted = first.sparkSession, [r[key] for r in first.collect()]
+    written: list = []
+    for file in sorted(spark.read.text(path).inputFiles()) if wanted else []:
+        if len(written) >= len(wanted):
+            break
+        written += read_jsonl(spark, file, samples.select("messages").schema).limit(len(wanted) - len(written)).collect()
+    rows = [(k, row["messages"]) for k, row in zip(wanted, written)]
+    return spark.createDataFrame(rows, samples.schema)

@@ -23,9 +23,10 @@ def write_jsonl(df: DataFrame, path: str, keep_nulls: bool = False) -> int:
 def write_splits(df: DataFrame, out: str) -> int:
     """Write the rows under ``out/split=<name>`` in one job and return their number.
 
+    Only the folders of splits that have rows are replaced; whatever else is in ``out`` stays.
     Rows keep the order they come in: a frame sorted by split and position needs no
     further sort.
     """
     rows, seen = _counted(df)
-    rows.write.mode("overwrite").partitionBy("split").json(out)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split").json(out)
     return seen.get["rows"]

@@ -17,15 +17,15 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_jsonl(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType | None = schemas.MESSAGES,
+    schema: T.StructType | None = None,
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """Typed rows of JSON Lines files; blank lines are skipped, a malformed line fails.
 
     The lines are read as text because the JSON source fails on a line of Unicode spaces.
     With ``mode='PERMISSIVE'`` a malformed line gives NULLs, and its text goes to a
-    ``_corrupt_record`` column if ``schema`` has one.  Without a ``schema`` all fields found
-    in the files are read, at the cost of one more pass to find them.
+    ``_corrupt_record`` column if ``schema`` has one.  All fields found in the files are read, at
+    the cost of one more pass to find them; a declared ``schema`` saves that pass.
     """
     if schema is None:
         schema = spark.read.option("mode", "DROPMALFORMED").json(path).schema
@@ -36,7 +36,7 @@ def read_jsonl(
 def load_splits(
     spark: SparkSession,
     paths: Mapping[str, str | None],
-    schema: T.StructType | None = schemas.MESSAGES,
+    schema: T.StructType | None = None,
 ) -> dict[str, DataFrame]:
     """One frame per named split, e.g. ``{'train': ..., 'validation': ...}``.
 
@@ -46,11 +46,11 @@ def load_splits(
 
 
 def union_splits(splits: Mapping[str, DataFrame]) -> DataFrame:
-    """All splits in one frame with a ``split`` column."""
+    """All splits in one frame with a ``split`` column; a field that a split lacks is NULL there."""
     frames = [df.withColumn("split", F.lit(name)) for name, df in splits.items()]
     out = frames[0]
     for frame in frames[1:]:
-        out = out.unionByName(frame)
+        out = out.unionByName(frame, allowMissingColumns=True)
     return out
 
 

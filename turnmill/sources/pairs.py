@@ -5,7 +5,6 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnmill import schemas
 from turnmill.sources.jsonl import read_jsonl
 
 Split = TypeVar("Split")
@@ -17,10 +16,13 @@ def pick_split(splits: Mapping[str, Split]) -> Split:
 
 
 def read_pairs(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    """A pairs table from Parquet, JSON Lines or CSV with a header."""
+    """A pairs table from Parquet, JSON Lines or CSV with a header, with all its columns.
+
+    Texts in CSV contain line breaks, so a CSV file can't be split: each file is one task.
+    """
     if format == "json":
-        return read_jsonl(spark, path, schemas.PAIRS)
+        return read_jsonl(spark, path)
     if format == "csv":
-        # Texts contain line breaks and doubled quotes.
+        # Quotes inside texts are doubled.
         return spark.read.csv(path, header=True, multiLine=True, escape='"')
     return spark.read.format(format).load(path)
