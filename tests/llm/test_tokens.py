@@ -1,0 +1,123 @@
+"""Token counts and the BPE transducer against the libraries whose results they must give."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer as Library
+
+from turnmill.llm import bpe_transducer as bpe
+from turnmill.llm import token_counts as counts
+
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+ODD = [
+    "", " ", "  a  b ", "a<|endoftext|>b <|endoftext|><|endoftext|>", "\x1c\x1d a\x85b᠎​ x﻿", "aaaa" * 3000,
+    "é" * 500, "日本語" * 100, "\n\n\n\nx", "it's we'll I'D 12 ½ ²", "\U0001f600" * 30, "é" * 20,
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return counts.Tokenizer(JSON)
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.Ranks(RANKS, public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(ranks):
+    return tiktoken.Encoding("own", pat_str=ranks.pattern, mergeable_ranks=ranks.ranks, special_tokens={})
+
+
+def test_counts_are_the_librarys(tokenizer, tables):
+    texts = ODD + [r["text"] for r in tables("documents").limit(300).collect()]
+    count, library = counts.counter(tokenizer), Library.from_file(JSON)
+    assert [count(t) for t in texts] == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_whole_tokens_are_proven(tokenizer):
+    library = Library.from_file(JSON)
+    for text in random.Random(1).sample(sorted(tokenizer.whole), 500):
+        assert tokenizer.merge(text) == 1
+        assert len(library.model.tokenize("".join(tokenizer.alphabet[b] for b in text.encode()))) == 1
+
+
+def test_long_texts_are_cut_piece_by_piece(tokenizer, monkeypatch):
+    monkeypatch.setattr(counts, "LONG", 5)
+    text = "some words, and <|endoftext|> more  of them\n"
+    assert counts.counter(tokenizer)(text) == len(Library.from_file(JSON).encode(text, add_special_tokens=False).ids)
+
+
+def test_counting_awkward_rows(awkward, nothing):
+    rows = counts.token_counts(awkward, JSON).collect()
+    library = Library.from_file(JSON)
+    assert len(rows) == 11 and all(r["over_limit"] == (r["n_tokens"] > 1024) for r in rows)
+    got = sorted((r["n_bytes"], r["n_tokens"]) for r in rows)
+    texts = [r["text"] or "" for r in awkward.collect()]
+    assert got == sorted((len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for t in texts)
+    assert counts.token_counts(nothing, JSON).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_transducer_on_any_text(ranks, library, text):
+    # Only of code points that both libraries' Unicode versions know.
+    text = "".join(c for c in text if ord(c) < 0x3000)
+    assert bpe.encoder(ranks)(text).tolist() == library.encode_ordinary(text)
+
+
+def test_transducer_on_documents(ranks, library, tables):
+    texts = ODD + [r["text"] for r in tables("documents").limit(300).collect()]
+    encode, token = bpe.encoder(ranks), bpe.tokens_of(ranks)
+    for text in texts:
+        ids = encode(text)
+        assert ids.tolist() == library.encode_ordinary(text)
+        assert "".join(bpe.decode_stream(ids, token)) == text
+
+
+def test_transducer_starts_anew_when_its_memory_is_full(ranks, library, tables, monkeypatch):
+    for name in ("MAX_TRANSITIONS", "MAX_STATES", "MAX_PAIRS", "MAX_PIECES"):
+        monkeypatch.setattr(bpe, name, 50)
+    encode = bpe.encoder(ranks)
+    for row in tables("documents").limit(10).collect():
+        assert encode(row["text"]).tolist() == library.encode_ordinary(row["text"])
+
+
+def test_tokens_come_out_after_bounded_lookahead(ranks):
+    transducer, longest = bpe.Transducer(ranks), max(map(len, ranks.ranks))
+    transducer.encode(b"internationalization" * 40)
+    assert all(sum(len(transducer.token[t]) for t in pending) <= 2 * longest for _, live in transducer.states for _, pending in live)
+
+
+def test_border_test_against_plain_merging(ranks):
+    transducer, choose = bpe.Transducer(ranks), random.Random(2)
+    for _ in range(3000):
+        a, b = choose.randrange(len(ranks.ranks)), choose.randrange(3000)
+        assert transducer._never_joined(a, b) == (bpe.merge(transducer.token[a] + transducer.token[b], ranks.ranks)[0] == [a, b])
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.binary(max_size=12), st.integers(0, 12))
+def test_utf8_stream_is_the_whole_decoding(data, cut):
+    stream = bpe.Utf8Stream()
+    assert stream.feed(data[:cut]) + stream.feed(data[cut:]) + stream.finish() == data.decode("utf-8", "replace")
+
+
+def test_awkward_rows_round_trip(awkward, nothing, ranks, library):
+    rows = bpe.digests(bpe.round_trip(awkward, ranks)).collect()
+    want = []
+    for r in awkward.collect():
+        ids = library.encode_ordinary(r["text"] or "")
+        digest = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), r["text"] or "")]
+        want.append((r["doc_id"] or 0, len(ids), *digest))
+    assert sorted((r["doc_id"] or 0, *r[1:]) for r in rows) == sorted(want)
+    assert bpe.digests(bpe.round_trip(nothing, ranks)).collect() == []
+    ids = bpe.encode_documents(awkward, ranks)
+    again = ids.select(bpe.decode_ids(ids["ids"], ranks, awkward.sparkSession).alias("t")).collect()
+    assert sorted(r["t"] for r in again) == sorted(r["text"] or "" for r in awkward.collect())
