@@ -71,7 +71,7 @@ def covering_masks(radius: int, level: int) -> list[int]:
 
 def spanning_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links within the radius that connect whatever all of them would connect; one less than there are nodes at most."""
-    links, left = [], prints
+    links, left = [], prints.view(np.uint64)  # bits of negative numbers would be counted without their sign
     while len(left) > 1:
         reached, left = [left[0]], left[1:]
         while reached and len(left):
@@ -79,7 +79,7 @@ def spanning_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
             near = np.bitwise_count(left ^ x) <= radius
             if near.any():
                 found = left[near]
-                links += [(int(x), int(y)) for y in found]
+                links += [(int(x.view(np.int64)), y) for y in found.view(np.int64).tolist()]
                 reached += list(found)
                 left = left[~near]
     return links
