@@ -13,20 +13,22 @@ encoding of a shorter prefix plus one token, and two neighbours suffice to find
 from __future__ import annotations
 
 import base64
+import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds on what a worker remembers; beyond them it starts anew.
-MAX_TRANSITIONS = 250_000
-MAX_STATES = 150_000
+MAX_TRANSITIONS = 450_000
+MAX_STATES = 300_000
 MAX_PAIRS = 200_000
-MAX_PIECES = 250_000
+MAX_PIECES = 150_000
 
 #: A node that at most so many tokens continue is dropped where none of them can follow.
 FEW = 100
@@ -63,6 +65,7 @@ class Ranks:
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.pattern = pattern
+        self.name = hashlib.sha256(repr((sorted(self.ranks.items()), pattern)).encode()).hexdigest()
         if any(bytes([b]) not in self.ranks for b in range(256)) or max(self.ranks.values()) >= len(self.ranks):
             raise ValueError("the ranks must cover every byte and be dense")
         #: Tokens that merging never reaches: they stand only for a pre-token that equals them.
@@ -214,19 +217,25 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Ids per pre-token, as little-endian integers of four bytes, remembered for a while."""
+    """Ids per pre-token, as little-endian integers of four bytes, remembered for a while.
+
+    When it is full it becomes the older half, from which what is still in use is taken over.
+    """
 
     def __init__(self, source: Ranks):
         super().__init__()
-        self.transducer, self.ranks = Transducer(source), source.ranks
+        self.transducer, self.ranks, self.older = Transducer(source), source.ranks, {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) > MAX_PIECES:
+            self.older = dict(self)
             self.clear()
-        raw = piece.encode()
-        rank = self.ranks.get(raw)  # also finds the tokens that merging never reaches
-        ids = array("i", self.transducer.encode(raw) if rank is None else [rank]).tobytes()
-        if len(raw) < 100:
+        ids = self.older.get(piece)
+        if ids is None:
+            raw = piece.encode()
+            rank = self.ranks.get(raw)  # also finds the tokens that merging never reaches
+            ids = array("i", self.transducer.encode(raw) if rank is None else [rank]).tobytes()
+        if len(piece) < 100:
             self[piece] = ids
         return ids
 
@@ -307,7 +316,7 @@ def encode_text(text: Column, source: Ranks, spark) -> Column:
     shared = spark.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoder(shared.value)
+        encode, _ = coder(shared.value)
         for texts in batches:
             for i in range(0, len(texts), ROWS):
                 yield pd.Series([encode(x) for x in texts[i : i + ROWS]], dtype=object)
@@ -327,7 +336,7 @@ def decode_ids(ids: Column, source: Ranks, spark) -> Column:
     shared = spark.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = tokens_of(shared.value)
+        _, token = coder(shared.value)
         for arrays in batches:
             for i in range(0, len(arrays), ROWS):
                 own = arrays[i : i + ROWS]
@@ -336,18 +345,33 @@ def decode_ids(ids: Column, source: Ranks, spark) -> Column:
     return F.pandas_udf(run, "string").asNondeterministic()(ids)
 
 
+#: What a worker process has built for the last rank file; later tasks of the process go on with it.
+_CODERS: dict[str, tuple] = {}
+
+
+def coder(source: Ranks) -> tuple:
+    """The process's encoder and token list for a rank file."""
+    if source.name not in _CODERS:
+        _CODERS.clear()
+        _CODERS[source.name] = (encoder(source), tokens_of(source))
+    return _CODERS[source.name]
+
+
 def coded_text(text: Column, source: Ranks, spark) -> Column:
     """Struct of ids and the text decoded from them, by one worker."""
     shared = spark.sparkContext.broadcast(source)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encode, token = encoder(shared.value), tokens_of(shared.value)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode, token = coder(shared.value)
         for texts in batches:
             for i in range(0, len(texts), ROWS):
-                ids = [encode(x) for x in texts[i : i + ROWS]]
-                yield pd.DataFrame({"ids": ids, "decoded": ["".join(decode_stream(x, token)) for x in ids]})
+                ids = [encode(x) for x in texts.slice(i, ROWS).to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+                decoded = pa.array(["".join(decode_stream(x, token)) for x in ids], pa.string())
+                yield pa.StructArray.from_arrays([lists, decoded], ["ids", "decoded"])
 
-    return F.pandas_udf(run, "ids array<int>, decoded string").asNondeterministic()(text)
+    return F.arrow_udf(run, "ids array<int>, decoded string").asNondeterministic()(text)
 
 
 def encode_documents(docs: DataFrame, source: Ranks, key: str = "doc_id", text: str = "text") -> DataFrame:
