@@ -18,30 +18,20 @@ def validate_messages(messages: Column) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def variant_kind(value: Column) -> Column:
-    """'ARRAY', 'OBJECT', 'STRING', ... of a VARIANT."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-
-
 def variant_items(sample: Column) -> Column:
     """The elements of ``$.messages``, or NULL when that is not a list."""
-    value = F.variant_get(sample, "$.messages", "variant")
-    return F.when(
-        variant_kind(value) == "ARRAY",
-        F.try_variant_get(sample, "$.messages", "array<variant>"),
-    )
+    return F.try_variant_get(sample, "$.messages", "array<variant>")
 
 
 def variant_has_key(item: Column, key: str) -> Column:
     """Whether an object has ``key``, even with a null value; false for anything else."""
-    keys = F.map_keys(F.try_variant_get(item, "$", "map<string,variant>"))
-    return F.coalesce((variant_kind(item) == "OBJECT") & F.array_contains(keys, key), F.lit(False))
+    # A JSON null is a VARIANT, not a NULL.
+    return F.variant_get(item, f"$.{key}", "variant").isNotNull()
 
 
 def variant_role(item: Column) -> Column:
-    """The role when it is a string, else NULL (a number would otherwise be cast)."""
-    role = F.variant_get(item, "$.role", "variant")
-    return F.when(variant_kind(role) == "STRING", F.try_variant_get(item, "$.role", "string"))
+    """The role as text; what is no string gives text that is no role, or NULL."""
+    return F.try_variant_get(item, "$.role", "string")
 
 
 def validate_messages_json(value: Column) -> Column:

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill.functions import checks
 from turnmill.functions.binding import bind
-from turnmill.operators.order import seeded_order
 
 # Report texts.
 MISSING_MESSAGES = "Missing 'messages' key"
@@ -80,9 +79,7 @@ def sample_issues_json(key: Column, value: Column) -> Column:
     return bind(bind(F.try_parse_json(value), facts), issues)
 
 
-def _explode(df: DataFrame, key: str, issues: Column, order: list[str], limit: int | None, seed: int) -> DataFrame:
-    if limit is not None:
-        df = seeded_order(df, key, seed).limit(limit)
+def _explode(df: DataFrame, key: str, issues: Column, order: list[str]) -> DataFrame:
     return df.select(F.col(key).alias("sample_id"), *order, F.explode(issues).alias("i")).select(
         "sample_id", *order, "i.msg_idx", "i.rule", "i.detail"
     )
@@ -93,19 +90,14 @@ def schema_issues(
     key: str,
     messages: str = "messages",
     by: tuple[str, ...] = (),
-    limit: int | None = None,
-    seed: int = 42,
 ) -> DataFrame:
-    """Issues table ``(sample_id, *by, msg_idx, rule, detail)`` of typed samples.
-
-    All samples are checked unless ``limit`` asks for that many, in seeded order.
-    """
-    return _explode(df, key, sample_issues(F.col(key), F.col(messages)), list(by), limit, seed)
+    """Issues table ``(sample_id, *by, msg_idx, rule, detail)`` of typed samples."""
+    return _explode(df, key, sample_issues(F.col(key), F.col(messages)), list(by))
 
 
-def schema_issues_json(df: DataFrame, key: str, value: str = "value", limit: int | None = None, seed: int = 42) -> DataFrame:
-    """Issues table of raw JSON lines."""
-    return _explode(df, key, sample_issues_json(F.col(key), F.col(value)), [], limit, seed)
+def schema_issues_json(df: DataFrame, key: str, value: str = "value") -> DataFrame:
+    """Issues table of raw JSON lines; ``messages`` that are not a list count as none."""
+    return _explode(df, key, sample_issues_json(F.col(key), F.col(value)), [])
 
 
 def schema_report(issues: DataFrame, show: int = 10) -> DataFrame:
