@@ -37,7 +37,7 @@ RANGE_TOKENS = 1 << 22
 
 #: Words that a worker remembers; tokens it looks up at a time; words it counts before it passes them on.
 REMEMBERED = 400_000
-LOOKED_UP = 1 << 21
+LOOKED_UP = 1 << 20
 COUNTED = 400_000
 
 #: The end token can't be a word, since it is white space.
