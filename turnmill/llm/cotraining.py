@@ -45,7 +45,7 @@ class Settings:
     steps: int = 150
     rate: float = 0.1
     decay: float = 1e-4
-    threshold: float = 0.3
+    threshold: float = 0.1
 
 
 LAYOUT = ("chars", "lines", "line_chars", "distinct_lines", "capitals", "digits", "marks")
