@@ -14,6 +14,11 @@ from turnmill.llm.quality_rules import keep_good
 from turnmill.llm.simhash import one_of_each
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows at a time between Spark and Python: long documents then need little memory there."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out the lines that fail; documents that fail or lose too much go."""
     kept = keep_good(docs)
@@ -24,23 +29,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go."""
+    small_batches(spark)
     return keep_identified(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    small_batches(spark)
     return one_of_each(docs, shingle=3, radius=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    small_batches(spark)
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of what is left."""
+    small_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return digests(round_trip(docs, Ranks(path, public_tokenizers.PATTERN)))
+    # The stages share the executors' worker processes, so this one leaves nothing in them.
+    return digests(round_trip(docs, Ranks(path, public_tokenizers.PATTERN, memory=0.3, shared=False)))
 
 
 STAGES = [

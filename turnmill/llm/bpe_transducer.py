@@ -59,13 +59,18 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[list[int], tuple[int,
 
 
 class Ranks:
-    """A rank file, as the driver sends it to workers; its size is that of the vocabulary."""
+    """A rank file, as the driver sends it to workers; its size is that of the vocabulary.
 
-    def __init__(self, path: str, pattern: str):
+    ``memory`` scales what a worker may remember (1: about 270 MB).  With ``shared`` the tasks of a worker
+    process go on with what earlier ones have built; without it the memory is free again after each task.
+    """
+
+    def __init__(self, path: str, pattern: str, memory: float = 1.0, shared: bool = True):
+        self.memory, self.shared = memory, shared
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.pattern = pattern
-        self.name = hashlib.sha256(repr((sorted(self.ranks.items()), pattern)).encode()).hexdigest()
+        self.name = hashlib.sha256(repr((sorted(self.ranks.items()), pattern, memory)).encode()).hexdigest()
         if any(bytes([b]) not in self.ranks for b in range(256)) or max(self.ranks.values()) >= len(self.ranks):
             raise ValueError("the ranks must cover every byte and be dense")
         #: Tokens that merging never reaches: they stand only for a pre-token that equals them.
@@ -89,6 +94,8 @@ class Transducer:
 
     def __init__(self, source: Ranks):
         self.ranks, self.halves = source.ranks, source.halves
+        limits = (MAX_TRANSITIONS, MAX_STATES, MAX_PAIRS)
+        self.max_steps, self.max_states, self.max_pairs = (int(x * source.memory) for x in limits)
         self.token = [b""] * len(source.ranks)
         self.trie: dict[int, int] = {}  # node << 8 | byte -> node
         self.below: dict[int, list[int]] = {}  # node -> tokens that continue it
@@ -127,7 +134,7 @@ class Transducer:
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > MAX_PAIRS:
+            if len(self.pairs) > self.max_pairs:
                 self.pairs.clear()
             known = self.pairs[key] = self._never_joined(a, b)
         return known
@@ -161,7 +168,7 @@ class Transducer:
         key = last << 32 | node
         known = self.open.get(key)
         if known is None:
-            if len(self.open) > MAX_PAIRS:
+            if len(self.open) > self.max_pairs:
                 self.open.clear()
             known = self.open[key] = any(self._never_joined(last, t) for t in tokens)
         return known
@@ -203,7 +210,7 @@ class Transducer:
         return made
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.steps) > MAX_TRANSITIONS or len(self.states) > MAX_STATES:
+        if len(self.steps) > self.max_steps or len(self.states) > self.max_states:
             self.restart()
         state, out, steps = 0, [], self.steps
         for byte in piece:
@@ -225,9 +232,10 @@ class _Pieces(dict):
     def __init__(self, source: Ranks):
         super().__init__()
         self.transducer, self.ranks, self.older = Transducer(source), source.ranks, {}
+        self.most = int(MAX_PIECES * source.memory)
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > MAX_PIECES:
+        if len(self) > self.most:
             self.older = dict(self)
             self.clear()
         ids = self.older.get(piece)
@@ -351,6 +359,8 @@ _CODERS: dict[str, tuple] = {}
 
 def coder(source: Ranks) -> tuple:
     """The process's encoder and token list for a rank file."""
+    if not source.shared:
+        return encoder(source), tokens_of(source)
     if source.name not in _CODERS:
         _CODERS.clear()
         _CODERS[source.name] = (encoder(source), tokens_of(source))
