@@ -50,7 +50,7 @@ def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     small_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     # The stages share the executors' worker processes, so this one leaves nothing in them.
-    return digests(round_trip(docs, Ranks(path, public_tokenizers.PATTERN, memory=0.3, shared=False)))
+    return digests(round_trip(docs, Ranks(path, public_tokenizers.PATTERN, memory=0.2, shared=False)))
 
 
 STAGES = [

@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds on what a worker remembers; beyond them it starts anew.
-MAX_TRANSITIONS = 450_000
-MAX_STATES = 300_000
-MAX_PAIRS = 200_000
-MAX_PIECES = 150_000
+MAX_TRANSITIONS = 700_000
+MAX_STATES = 450_000
+MAX_PAIRS = 250_000
+MAX_PIECES = 220_000
 
 #: A node that at most so many tokens continue is dropped where none of them can follow.
 FEW = 100
@@ -61,7 +61,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[list[int], tuple[int,
 class Ranks:
     """A rank file, as the driver sends it to workers; its size is that of the vocabulary.
 
-    ``memory`` scales what a worker may remember (1: about 270 MB).  With ``shared`` the tasks of a worker
+    ``memory`` scales what a worker may remember (1: about 400 MB).  With ``shared`` the tasks of a worker
     process go on with what earlier ones have built; without it the memory is free again after each task.
     """
 
@@ -83,6 +83,17 @@ class Ranks:
                 self.unreached[token] = rank
 
 
+class _Steps(dict):
+    """state << 8 | byte -> (state, emitted tokens); made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, step: int) -> tuple[int, tuple[int, ...]]:
+        return self.make(step)
+
+
 class Transducer:
     """Encodes byte strings; see the head of this file.
 
@@ -125,7 +136,7 @@ class Transducer:
         first = (-1, ((self.ROOT, ()),))
         self.states = [first]
         self.number = {first: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # state << 8 | byte -> state, emitted tokens
+        self.steps = _Steps(self._make)
 
     def adjacent(self, a: int, b: int) -> bool:
         """Whether b may follow a; anything may come first (-1)."""
@@ -214,9 +225,7 @@ class Transducer:
             self.restart()
         state, out, steps = 0, [], self.steps
         for byte in piece:
-            step = state << 8 | byte
-            found = steps.get(step)
-            state, emitted = found if found is not None else self._make(step)
+            state, emitted = steps[state << 8 | byte]
             if emitted:
                 out += emitted
         out += self.states[state][1][-1][1]
