@@ -113,6 +113,26 @@ def test_leaks_and_edited_leaks(spark, tables, monkeypatch, block_items):
     assert {i for i, _ in got} <= {i for i, _ in planted}
 
 
+def test_short_and_end_edited_items_among_benchmark_words(spark):
+    """What surrounds an item is made of the benchmark's own words, which dilute a window longer than the item."""
+    choose = random.Random(6)
+    words = [f"w{i}" for i in range(3000)]
+    items = [[choose.choice(words) for _ in range(choose.choice((6, 8, 10, 30, 45)))] for _ in range(400)]
+    rows, planted = [], set()
+    for i in range(100):
+        own = [choose.choice(words) for _ in range(choose.randrange(100, 400))]
+        at, item = choose.randrange(len(own)), choose.randrange(len(items))
+        copy = list(items[item])
+        if i % 2:
+            copy[-(len(copy) // 4) :] = [choose.choice(words) for _ in range(len(copy) // 4)]
+        rows.append((i, " ".join(own[:at] + copy + own[at:])))
+        planted.add((i, item))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert len(got & planted) >= 0.97 * len(planted) and got <= planted
+
+
 def test_leaks_in_awkward_rows(spark, awkward, nothing):
     items = spark.createDataFrame([(1, "the same line of words here."), (2, None), (3, ""), (4, "!!")], "item_id long, text string")
     got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(awkward, items).collect())
