@@ -184,3 +184,13 @@ def test_language_model_on_awkward_rows(awkward, nothing):
     assert len(rows) == 11 and sorted(r["n_tokens"] for r in rows)[:3] == [1, 1, 1]
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
     assert kneser_ney.score_documents(nothing).collect() == []
+
+
+def test_a_kept_word_has_its_count_in_every_language(spark, monkeypatch):
+    """``shared`` is among the most frequent words of one language only."""
+    monkeypatch.setattr(language_id, "MODEL_WORDS", 4)
+    rows = [("a", "shared shared shared one"), ("b", "two two two three three three shared")]
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    row = model.table[model.words["shared"]]
+    assert row[model.langs.index("a")] == pytest.approx(np.log10(3 / 4))
+    assert row[model.langs.index("b")] == pytest.approx(np.log10(1 / 7))

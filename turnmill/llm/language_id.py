@@ -8,6 +8,7 @@ language is the mean over its words.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -88,14 +89,16 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _rows(counts, ["lang", "size", "unit", "n"])
 
 
-def _most_frequent(counts: DataFrame, by: list[str], most: int) -> list:
-    """The ``most`` largest of each group; salted, so that no task orders a whole group."""
+def _most_frequent(counts: DataFrame, by: list[str], most: int) -> Iterator:
+    """The ``most`` largest units of each group, with their counts in all groups; salted, so that no task orders
+    a whole group."""
     salted = counts.withColumn("salt", F.pmod(F.xxhash64("unit"), F.lit(64)))
     order = (F.desc("n"), F.col("unit"))
     first = salted.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "salt").orderBy(*order)))
     first = first.where(F.col("rank") <= most).drop("rank", "salt")
     last = first.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return last.where(F.col("rank") <= most).drop("rank").collect()
+    kept = staged(last.where(F.col("rank") <= most).select("unit").distinct(), "lang-kept")
+    return counts.join(F.broadcast(kept), "unit").toLocalIterator()  # units bounded by ``most`` a group
 
 
 @dataclass
@@ -128,15 +131,20 @@ def train(docs: DataFrame) -> Model:
 
     model = Model(langs)
     place = {lang: i for i, lang in enumerate(langs)}
+    rows, columns, values = array("l"), array("l"), array("f")
+
+    def add(row: int, lang: str, share: float) -> None:
+        rows.append(row)
+        columns.append(place[lang])
+        values.append(np.log10(share))
+
     for r in known:
-        model.words.setdefault(r["unit"], len(model.words))
+        add(model.words.setdefault(r["unit"], len(model.words)), r["lang"], r["n"] / totals[r["lang"]])
     for r in known_grams:
-        model.grams.setdefault(r["unit"], len(model.words) + len(model.grams))
+        row = model.grams.setdefault(r["unit"], len(model.words) + len(model.grams))
+        add(row, r["lang"], r["n"] / gram_totals[r["lang"], r["size"]])
     model.table = np.full((len(model.words) + len(model.grams), len(langs)), PENALTY, np.float32)
-    for r in known:
-        model.table[model.words[r["unit"]], place[r["lang"]]] = np.log10(r["n"] / totals[r["lang"]])
-    for r in known_grams:
-        model.table[model.grams[r["unit"]], place[r["lang"]]] = np.log10(r["n"] / gram_totals[r["lang"], r["size"]])
+    model.table[np.asarray(rows), np.asarray(columns)] = values
     return model
 
 
