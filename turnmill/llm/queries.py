@@ -13,6 +13,7 @@ from turnmill.llm.common import table
 from turnmill.llm import oracles
 from turnmill.llm.cotraining import classify
 from turnmill.llm.decontaminate import find_leaks
+from turnmill.llm import fill_in_middle as fim
 from turnmill.llm.kneser_ney import score_documents
 from turnmill.llm.language_id import identify
 from turnmill.llm.quality_rules import quality_rules
@@ -68,6 +69,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -79,9 +84,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cotraining": op8_cotraining,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_toxicity": op10_toxicity,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat_format": oracles.CHAT_FORMAT,
     "op7_quality_rules": oracles.QUALITY_RULES,
+    "op12_fill_in_middle": oracles.FILL_IN_MIDDLE,
 }
