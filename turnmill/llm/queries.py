@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from turnmill.llm.bpe_transducer import Ranks, digests, round_trip
 from turnmill.llm.chat_format import format_turns, read_back
 from turnmill.llm.common import table
-from turnmill.llm import oracles
+from turnmill.llm import oracles, runs
 from turnmill.llm.cotraining import classify
 from turnmill.llm.decontaminate import find_leaks
 from turnmill.llm import fill_in_middle as fim
@@ -69,6 +69,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(runs.with_repeated_tails(table(spark, sf_dir, "documents"))))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cotraining": op8_cotraining,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_fill_in_middle": op12_fill_in_middle,
 }
 
