@@ -14,6 +14,7 @@ from turnmill.llm import oracles, runs
 from turnmill.llm.cotraining import classify
 from turnmill.llm.decontaminate import find_leaks
 from turnmill.llm import fill_in_middle as fim
+from turnmill.llm.fingerprints import fingerprint_edits
 from turnmill.llm.kneser_ney import score_documents
 from turnmill.llm.language_id import identify
 from turnmill.llm.quality_rules import quality_rules
@@ -77,6 +78,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
