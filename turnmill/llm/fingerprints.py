@@ -6,8 +6,8 @@ exclusive or, and that of their check values.  Cells of two versions are subtrac
 with one digest left gives it away, its other two cells are relieved of it, and so on: peeling.  If cells remain, the
 pair is tried again with tables of twice the size and other hashes.
 
-The fingerprint is a sketch of 12 cells in hexadecimal digits.  The sketches that are peeled have room for all
-paragraphs of both versions; only cells that something falls into exist, as rows.
+The fingerprint is a sketch of 12 cells in hexadecimal digits.  The sketches that are peeled have ample room for
+all paragraphs of both versions; only cells that something falls into exist, as rows.
 """
 
 from __future__ import annotations
@@ -28,7 +28,10 @@ PARAGRAPH_END = r"\n|(?<=[.!?。！？])\s+"
 NARROW = 4
 
 #: Tables are peeled in turn, each so many times at most.
-PASSES = 4
+PASSES = 2
+
+#: Cells of a table per paragraph of the two versions; cells that nothing falls into cost nothing.
+ROOM = 2
 
 #: Ranges of ids per shuffle partition.
 RANGES = 4
@@ -46,15 +49,17 @@ def _check(digest: Column) -> Column:
 
 def sketch(digests: Column) -> Column:
     """The 12 cells as 144 bytes: number of digests (2), exclusive or (8), exclusive or of the check values (2)."""
+    call, zero = F.call_function, F.lit(0).cast("long")
 
-    def cell(table: int, place: int) -> Column:
-        own = F.filter(digests, lambda d: F.shiftright(d, 2 * table).bitwiseAND(NARROW - 1) == place)
-        both = F.aggregate(own, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(d))
-        checks = F.aggregate(own, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(_check(d).bitwiseAND(0xFFFF)))
+    def cell(number: Column) -> Column:
+        table, place = call("div", number, F.lit(NARROW)).cast("int"), number % NARROW
+        own = F.filter(digests, lambda d: call("shiftright", d, 2 * table).bitwiseAND(NARROW - 1) == place)
+        start = F.struct(zero.alias("n"), zero.alias("d"), zero.alias("c"))
+        add = lambda a, d: F.struct((a["n"] + 1).alias("n"), a["d"].bitwiseXOR(d).alias("d"), a["c"].bitwiseXOR(_check(d)).alias("c"))
         hexed = lambda value, digits: F.lpad(F.hex(value), digits, "0")
-        return F.concat(hexed(F.size(own) % 65536, 4), hexed(both, 16), hexed(checks, 4))
+        return F.aggregate(own, start, add, lambda a: F.concat(hexed(a["n"] % 65536, 4), hexed(a["d"], 16), F.right(hexed(a["c"], 16), F.lit(4))))
 
-    return F.unhex(F.concat(*(cell(t, p) for t in range(3) for p in range(NARROW))))
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3 * NARROW - 1)), cell), ""))
 
 
 def fingerprint(text: Column) -> Column:
@@ -63,35 +68,33 @@ def fingerprint(text: Column) -> Column:
 
 
 def _peel(rows: DataFrame, by: list[str], old: str, others: list[str], attempt: int, passes: int, keep: bool) -> DataFrame:
-    """Per row and other version what peeling finds: (by, version, cell, found, n, gone, new); cells that are left are not NULL."""
-    room = lambda name: (F.size(old) + F.size(name)).cast("long")
-    versions = F.array(
-        *(
-            F.struct(F.lit(i).alias("version"), (F.floor(room(name) / 2) * 2**attempt + 8 * 2**attempt).cast("long").alias("width"), F.lit(sign).alias("sign"), F.col(of).alias("digests"))
-            for i, name in enumerate(others)
-            for sign, of in ((1, old), (-1, name))
-        )
+    """Per row and other version what peeling finds: (by, version, width, cell, found, n, d, c, gone, new).
+
+    Rows with a cell are what is left.  The others count what was found, per digest if ``keep`` is set.
+    """
+    sides = ", ".join(
+        f"struct({i} AS version, (size({old}) + size({name}) + 8) * {ROOM * 2**attempt}L AS width, {sign}L AS sign, {of} AS digests)"
+        for i, name in enumerate(others)
+        for sign, of in ((1, old), (-1, name))
     )
-    place = lambda digest, table: (F.col("width") * table + F.pmod(F.xxhash64(digest, F.lit(3 * attempt) + table), F.col("width"))).cast("long")
-    key, none = [*by, "version", "width"], F.lit(None).cast("long")
-    digests = rows.select(*by, F.inline(versions)).select(*key, "sign", F.explode("digests").alias("d"), _check(F.col("d")).alias("c"))
-    at = digests.select(*key, "sign", "d", "c", F.explode(F.array(*(place(F.col("d"), t) for t in (0, 1, 2)))).alias("cell"))
-    cells = at.groupBy(*key, "cell").agg(F.sum("sign").alias("n"), F.bit_xor("d").alias("d"), F.bit_xor("c").alias("c"))
-    zero = F.lit(0).cast("long")
-    cells = cells.select(*key, "cell", none.alias("found"), "n", "d", "c", zero.alias("gone"), zero.alias("new"))
-    full = F.col("cell").isNull() | (F.col("n") != 0) | (F.col("d") != 0) | (F.col("c") != 0)
+    place = lambda table: f"width * {table} + pmod(xxhash64(d, {3 * attempt + table}), width)"
+    key = [*by, "version", "width"]
+    digests = rows.selectExpr(*by, f"inline(array({sides}))").selectExpr(*key, "sign", "explode(digests) AS d").selectExpr("*", "xxhash64(d) AS c")
+    at = digests.selectExpr("*", f"explode(array({place(0)}, {place(1)}, {place(2)})) AS cell")
+    sums = [F.expr(x) for x in ("sum(n) AS n", "bit_xor(d) AS d", "bit_xor(c) AS c")]
+    cells = at.withColumnRenamed("sign", "n").groupBy(*key, "cell").agg(*sums)
+    cells = cells.selectExpr(*key, "cell", "CAST(NULL AS BIGINT) AS found", "n", "d", "c", "0L AS gone", "0L AS new")
+    sums += [F.expr(x) for x in ("sum(gone) AS gone", "sum(new) AS new")]
+    full = "cell IS NULL OR n <> 0 OR d <> 0 OR c <> 0"
     for turn in range(3 * passes):
         table = turn % 3
-        lone = (F.abs("n") == 1) & (F.col("c") == _check(F.col("d"))) & F.col("cell").between(F.col("width") * table, F.col("width") * (table + 1) - 1)
-        row = lambda cell, found, n, d, c, gone, new: F.struct(
-            *(x.alias(name) for x, name in zip((cell, found, n, d, c, gone, new), ("cell", "found", "n", "d", "c", "gone", "new")))
-        )
-        same = row(*(F.col(x) for x in ("cell", "found", "n", "d", "c", "gone", "new")))
-        taken = row(none, F.col("d") if keep else none, zero, zero, zero, F.when(F.col("n") > 0, 1).otherwise(0).cast("long"), F.when(F.col("n") < 0, 1).otherwise(0).cast("long"))
-        relieved = [row(place(F.col("d"), t), none, -F.col("n"), F.col("d"), F.col("c"), zero, zero) for t in range(3) if t != table]
-        after = cells.where(full).select(*key, F.inline(F.when(F.col("cell").isNotNull() & lone, F.array(taken, *relieved)).otherwise(F.array(same))))
-        sums = [F.sum("n").alias("n"), F.bit_xor("d").alias("d"), F.bit_xor("c").alias("c"), F.sum("gone").alias("gone"), F.sum("new").alias("new")]
-        cells = after.groupBy(*key, "cell", "found").agg(*sums)
+        lone = f"cell BETWEEN width * {table} AND width * {table + 1} - 1 AND abs(n) = 1 AND c = xxhash64(d)"
+        made = "struct({} AS cell, {} AS found, {} AS n, {} AS d, {} AS c, {} AS gone, {} AS new)".format
+        taken = made("CAST(NULL AS BIGINT)", "d" if keep else "CAST(NULL AS BIGINT)", "0L", "0L", "0L", "if(n > 0, 1L, 0L)", "if(n < 0, 1L, 0L)")
+        relieved = [made(place(t), "CAST(NULL AS BIGINT)", "-n", "d", "c", "0L", "0L") for t in range(3) if t != table]
+        same = made("cell", "found", "n", "d", "c", "gone", "new")
+        step = f"inline(if({lone}, array({taken}, {', '.join(relieved)}), array({same})))"
+        cells = cells.where(full).selectExpr(*key, step).groupBy(*key, "cell", "found").agg(*sums)
     return cells.where(full)
 
 
@@ -224,10 +227,11 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     repeated rows give a row each; other columns are not read; an empty table gives no rows.
     """
     near = with_next_text(docs, key, text, ranges)
-    n = F.length("text").cast("long")
+    once = lambda value, name: F.inline(F.array(F.struct(value.alias(name))))  # noqa: E731  keeps Catalyst from copying the value into each use
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.left("text", F.col("n_chars").cast("int") - half), F.left("next_text", half))
-    of = near.withColumn("n_chars", n).withColumn("edited", edited).withColumn("edited_digests", paragraph_digests(F.col("edited")))
+    of = near.withColumn("n_chars", F.length("text").cast("long")).select("*", once(edited, "edited"))
+    of = of.select("*", once(paragraph_digests(F.col("edited")), "edited_digests"))
     rows = of.select(
         "part",
         "place",
