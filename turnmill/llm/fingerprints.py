@@ -132,7 +132,9 @@ def count_differences(rows: DataFrame, by: list[str], old: str, others: list[str
     Like ``differing_digests``, but only counted.  Rows that come partitioned by some of the columns in ``by`` are not
     shuffled again.  The arrays are written with those rows only that do not peel.
     """
-    own, todo, attempt, done = [c for c in rows.columns if c not in (old, *others)], rows, 0, []
+    # Both sides of the join below then ask for the same rows, so that what they are shuffled from is shuffled once.
+    todo = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in by))
+    own, attempt, done = [c for c in rows.columns if c not in (old, *others)], 0, []
     names = [f"{kind}_{name}" for name in others for kind in ("gone", "new")]
     while True:
         of = lambda kind, i: F.sum(F.when(F.col("version") == i, F.col(kind))).alias(f"{kind}_{others[i]}")
@@ -202,6 +204,8 @@ def with_next_text(docs: DataFrame, key: str = "doc_id", text: str = "text", ran
     to = lambda part, extra: F.struct(F.col(part).alias("part"), F.lit(extra).alias("extra"))
     goes = F.when(is_first, F.array(to("part", False), to("_before", True))).otherwise(F.array(to("part", False)))
     dealt = rows.join(firsts, "part").select("id", "h", "text", paragraph_digests(F.col("text")).alias("digests"), F.inline(goes))
+    # A number of its own keeps partitions small: what follows needs memory for all rows of one.
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
     order = Window.partitionBy("part").orderBy("extra", "id", "h")
     following = dealt.select(
         "part",
