@@ -82,13 +82,34 @@ def test_transducer_on_documents(ranks, library, tables):
 
 
 def test_transducer_starts_anew_when_its_memory_is_full(ranks, library, tables, monkeypatch):
-    for name in ("MAX_TRANSITIONS", "MAX_STATES", "MAX_PAIRS", "MAX_PIECES"):
-        monkeypatch.setattr(bpe, name, 50)
+    for name, bound in (("MAX_TRANSITIONS", 50), ("MAX_STATES", 50), ("MAX_PAIRS", 50), ("PIECE_BYTES", 5000), ("STRETCH_BYTES", 5000)):
+        monkeypatch.setattr(bpe, name, bound)
     encode = bpe.encoder(ranks)
     for row in tables("documents").limit(10).collect():
         assert encode(row["text"]).tolist() == library.encode_ordinary(row["text"])
 
 
+SPACED = ["a  b", " a", "a ", "  ", "a \n b", "x\u00a0 y z", "a b \t", "it 's  we 'll", "1 2  3\u3000 4", "\x1c a \x1c", "é  è ê", "a b"]
+
+
+@pytest.mark.parametrize("size", [1, 3, 1 << 20])
+def test_cutting_at_blanks_changes_nothing(ranks, library, monkeypatch, size):
+    monkeypatch.setattr(bpe, "LONG", size)
+    encode, choose = bpe.encoder(ranks), random.Random(size)
+    texts = SPACED + ["".join(choose.choices(["a", "b", " ", " ", "\n", "\t", "'s", "1", ".", "\u00a0", "é"], k=20)) for _ in range(2000)]
+    for text in texts:
+        assert encode(text).tolist() == library.encode_ordinary(text)
+        assert "".join(bpe.segments(text, size)) == text
+
+
+def test_only_tokens_that_merging_never_reaches_are_looked_up(ranks):
+    transducer = bpe.Transducer(ranks)
+    reached = [t for t in ranks.ranks if t not in ranks.unreached]
+    assert len(ranks.unreached) < 0.05 * len(ranks.ranks)
+    for token in random.Random(3).sample(reached, 2000):
+        assert transducer.encode(token) == [ranks.ranks[token]]
+
+
 def test_tokens_come_out_after_bounded_lookahead(ranks):
     transducer, longest = bpe.Transducer(ranks), max(map(len, ranks.ranks))
     transducer.encode(b"internationalization" * 40)

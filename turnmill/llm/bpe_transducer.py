@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,23 +25,37 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnmill.llm.fill_in_middle import blocks
+
 #: Bounds on what a worker remembers; beyond them it starts anew.
-MAX_TRANSITIONS = 700_000
-MAX_STATES = 450_000
-MAX_PAIRS = 250_000
-MAX_PIECES = 220_000
+MAX_TRANSITIONS = 300_000
+MAX_STATES = 200_000
+MAX_PAIRS = 100_000
+
+#: Bytes, by estimate, of the texts whose ids a worker remembers: pre-tokens, and stretches between blanks.
+PIECE_BYTES = 16 << 20
+STRETCH_BYTES = 32 << 20
+
+#: What an entry takes besides its text and its ids.
+ENTRY_BYTES = 220
 
 #: A node that at most so many tokens continue is dropped where none of them can follow.
 FEW = 100
 
-#: Texts over so many characters are cut into pre-tokens one by one.
+#: Characters of a text that are cut into pre-tokens at a time.
 LONG = 1 << 20
 
 #: Ids decoded at a time.
 CHUNK = 1 << 16
 
-#: Rows handed back at a time; a batch that comes in may hold ten thousand texts.
-ROWS = 500
+#: Bytes of texts that are handed back together; a longer one goes by itself.
+BLOCK = 2 << 20
+
+#: White space other than the blank, by this pattern language or Python's.
+OTHER_SPACE = [chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+#: A blank with no white space on either side.
+LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[list[int], tuple[int, int] | None]:
@@ -61,16 +76,14 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[list[int], tuple[int,
 class Ranks:
     """A rank file, as the driver sends it to workers; its size is that of the vocabulary.
 
-    ``memory`` scales what a worker may remember (1: about 400 MB).  With ``shared`` the tasks of a worker
-    process go on with what earlier ones have built; without it the memory is free again after each task.
+    The tasks of a worker process go on with what earlier ones have built.
     """
 
-    def __init__(self, path: str, pattern: str, memory: float = 1.0, shared: bool = True):
-        self.memory, self.shared = memory, shared
+    def __init__(self, path: str, pattern: str):
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.pattern = pattern
-        self.name = hashlib.sha256(repr((sorted(self.ranks.items()), pattern, memory)).encode()).hexdigest()
+        self.name = hashlib.sha256(repr((sorted(self.ranks.items()), pattern)).encode()).hexdigest()
         if any(bytes([b]) not in self.ranks for b in range(256)) or max(self.ranks.values()) >= len(self.ranks):
             raise ValueError("the ranks must cover every byte and be dense")
         #: Tokens that merging never reaches: they stand only for a pre-token that equals them.
@@ -105,8 +118,6 @@ class Transducer:
 
     def __init__(self, source: Ranks):
         self.ranks, self.halves = source.ranks, source.halves
-        limits = (MAX_TRANSITIONS, MAX_STATES, MAX_PAIRS)
-        self.max_steps, self.max_states, self.max_pairs = (int(x * source.memory) for x in limits)
         self.token = [b""] * len(source.ranks)
         self.trie: dict[int, int] = {}  # node << 8 | byte -> node
         self.below: dict[int, list[int]] = {}  # node -> tokens that continue it
@@ -145,7 +156,7 @@ class Transducer:
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > self.max_pairs:
+            if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self._never_joined(a, b)
         return known
@@ -179,7 +190,7 @@ class Transducer:
         key = last << 32 | node
         known = self.open.get(key)
         if known is None:
-            if len(self.open) > self.max_pairs:
+            if len(self.open) > MAX_PAIRS:
                 self.open.clear()
             known = self.open[key] = any(self._never_joined(last, t) for t in tokens)
         return known
@@ -221,7 +232,7 @@ class Transducer:
         return made
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.steps) > self.max_steps or len(self.states) > self.max_states:
+        if len(self.steps) > MAX_TRANSITIONS or len(self.states) > MAX_STATES:
             self.restart()
         state, out, steps = 0, [], self.steps
         for byte in piece:
@@ -232,40 +243,71 @@ class Transducer:
         return out
 
 
-class _Pieces(dict):
-    """Ids per pre-token, as little-endian integers of four bytes, remembered for a while.
+class _Memo(dict):
+    """Ids per text, as little-endian integers of four bytes, remembered within a number of bytes.
 
     When it is full it becomes the older half, from which what is still in use is taken over.
     """
 
-    def __init__(self, source: Ranks):
+    def __init__(self, encode: Callable[[str], bytes], most: int):
         super().__init__()
-        self.transducer, self.ranks, self.older = Transducer(source), source.ranks, {}
-        self.most = int(MAX_PIECES * source.memory)
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-        ids = self.older.get(piece)
+        self.encode, self.most, self.size, self.older = encode, most // 2, 0, {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
         if ids is None:
-            raw = piece.encode()
-            rank = self.ranks.get(raw)  # also finds the tokens that merging never reaches
-            ids = array("i", self.transducer.encode(raw) if rank is None else [rank]).tobytes()
-        if len(piece) < 100:
-            self[piece] = ids
+            ids = self.encode(text)
+        if len(text) < 100:
+            self.size += ENTRY_BYTES + 2 * len(text) + len(ids)
+            if self.size > self.most:
+                self.older, self.size = dict(self), 0
+                self.clear()
+            self[text] = ids
         return ids
 
 
+def segments(text: str, size: int) -> Iterator[str]:
+    """The text in parts of about ``size`` characters, cut before blanks that no pre-token goes across."""
+    start = 0
+    while len(text) - start > size:
+        found = LONE_BLANK.search(text, start + size)
+        if found is None:
+            break
+        yield text[start : found.start()]
+        start = found.start()
+    yield text[start:] if start else text
+
+
 def encoder(source: Ranks):
-    """A function from a text to the array of its token ids."""
-    pieces, pattern = _Pieces(source), regex.compile(source.pattern)
+    """A function from a text to the array of its token ids.
+
+    A blank between two other characters always begins a pre-token, so a text is cut at its blanks first; most stretches
+    between them have been met before.
+    """
+    transducer, pattern, unreached = Transducer(source), regex.compile(source.pattern), source.unreached
+
+    def piece_ids(piece: str) -> bytes:
+        raw = piece.encode()
+        rank = unreached.get(raw)
+        return array("i", transducer.encode(raw) if rank is None else [rank]).tobytes()
+
+    pieces = _Memo(piece_ids, PIECE_BYTES)
+
+    def plain(text: str) -> bytes:
+        found = pattern.findall(text) if len(text) < LONG else (m.group() for m in pattern.finditer(text))
+        return b"".join(map(pieces.__getitem__, found))
+
+    stretches = _Memo(lambda stretch: plain(" " + stretch), STRETCH_BYTES)
+
+    def part(text: str) -> bytes:
+        side = "  " in text or any(w + " " in text or " " + w in text for w in OTHER_SPACE if w in text)
+        first, *rest = LONE_BLANK.split(text) if side else text.split(" ")
+        return plain(first) + b"".join(map(stretches.__getitem__, rest))
 
     def encode(text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
-        found = pattern.findall(text) if len(text) < LONG else (m.group() for m in pattern.finditer(text))
-        return np.frombuffer(b"".join(map(pieces.__getitem__, found)), np.int32)
+        return np.frombuffer(b"".join(map(part, segments(text, LONG))), np.int32)
 
     return encode
 
@@ -332,13 +374,27 @@ def encode_text(text: Column, source: Ranks, spark) -> Column:
     """Token ids of each text (array of int); NULL counts as empty."""
     shared = spark.sparkContext.broadcast(source)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode, _ = coder(shared.value)
         for texts in batches:
-            for i in range(0, len(texts), ROWS):
-                yield pd.Series([encode(x) for x in texts[i : i + ROWS]], dtype=object)
+            for block in text_blocks(texts):
+                yield id_lists([encode(x) for x in block])
+
+    return F.arrow_udf(run, "array<int>").asNondeterministic()(text)
+
+
+def text_blocks(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts, BLOCK bytes at a time; NULL as the empty text.  One empty list if there are none."""
+    if not len(texts):
+        yield []
+    for _, offsets, data in blocks(texts, BLOCK):
+        bounds, raw = offsets.tolist(), data.tobytes()
+        yield [raw[a:b].decode() for a, b in zip(bounds, bounds[1:])]
+
 
-    return F.pandas_udf(run, "array<int>").asNondeterministic()(text)
+def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
 
 
 def tokens_of(source: Ranks) -> list[bytes]:
@@ -355,9 +411,7 @@ def decode_ids(ids: Column, source: Ranks, spark) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         _, token = coder(shared.value)
         for arrays in batches:
-            for i in range(0, len(arrays), ROWS):
-                own = arrays[i : i + ROWS]
-                yield pd.Series(["" if x is None else "".join(decode_stream(x, token)) for x in own], dtype=object)
+            yield pd.Series(["" if x is None else "".join(decode_stream(x, token)) for x in arrays], dtype=object)
 
     return F.pandas_udf(run, "string").asNondeterministic()(ids)
 
@@ -368,8 +422,6 @@ _CODERS: dict[str, tuple] = {}
 
 def coder(source: Ranks) -> tuple:
     """The process's encoder and token list for a rank file."""
-    if not source.shared:
-        return encoder(source), tokens_of(source)
     if source.name not in _CODERS:
         _CODERS.clear()
         _CODERS[source.name] = (encoder(source), tokens_of(source))
@@ -383,12 +435,10 @@ def coded_text(text: Column, source: Ranks, spark) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode, token = coder(shared.value)
         for texts in batches:
-            for i in range(0, len(texts), ROWS):
-                ids = [encode(x) for x in texts.slice(i, ROWS).to_pylist()]
-                ends = np.cumsum([0, *map(len, ids)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+            for block in text_blocks(texts):
+                ids = [encode(x) for x in block]
                 decoded = pa.array(["".join(decode_stream(x, token)) for x in ids], pa.string())
-                yield pa.StructArray.from_arrays([lists, decoded], ["ids", "decoded"])
+                yield pa.StructArray.from_arrays([id_lists(ids), decoded], ["ids", "decoded"])
 
     return F.arrow_udf(run, "ids array<int>, decoded string").asNondeterministic()(text)
 
