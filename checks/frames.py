@@ -18,8 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First line of a document as Context, the rest as Response; NULL without a line break."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    parts = docs.transform(compute_once, "parts", F.split("text", NL, 2))
+    return pairs_of(table(spark, sf_dir, "documents"))
+
+
+def pairs_of(docs: DataFrame) -> DataFrame:
+    """The same of any documents, also of a stream."""
+    parts = docs.select("doc_id", "text").transform(compute_once, "parts", F.split("text", NL, 2))
     return parts.select(
         "doc_id",
         F.get("parts", F.lit(0)).alias("Context"),
@@ -43,11 +47,26 @@ def gapped_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").withColumn("turn", number.cast("long"))
 
 
+def sparse_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns far apart, two with each number; a third of the conversations are put together as one."""
+    conv = F.col("conv_id")
+    number = (conv * 100 + F.floor(F.col("turn") / 2)) * 1_000_000
+    one = F.when(conv % 3 == 0, 0).otherwise(conv).cast("long").alias("conv_id")
+    return table(spark, sf_dir, "conversations").select(one, number.cast("long").alias("turn"), "role", "text")
+
+
 def mixed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations of which some have an unknown role, and some one turn only."""
-    turns, conv, turn = table(spark, sf_dir, "conversations"), F.col("conv_id"), F.col("turn")
+    """All conversations, some with an unknown role, and each one's first turn as a conversation of its own."""
+    turns, conv, turn = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), F.col("conv_id"), F.col("turn")
     role = F.when((conv % 5 == 0) & (turn == 1), F.lit("bot")).otherwise(F.col("role"))
-    return turns.where((conv % 4 != 0) | (turn == 0)).withColumn("role", role)
+    short = turns.where(turn == 0).withColumn("conv_id", -1 - conv)
+    return turns.withColumn("role", role).unionByName(short)
+
+
+def overlapping_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns with addresses that have numbers in them."""
+    more = " 5551234567@x.com and 5551234567.b@y.org 123-45-6789@z.org"
+    return dirty_turns(spark, sf_dir).withColumn("text", F.concat("text", F.lit(more)))
 
 
 def dirty_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +114,27 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", key.alias("key"), value.alias("value"))
 
 
+def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of JSON per turn, with a value that is a number, a string, a list, an object or true."""
+    turn, text = F.col("turn"), F.to_json(F.struct(F.col("text").alias("t")))
+    number = turn.cast("string")
+    value = (
+        F.when(turn % 5 == 0, number)
+        .when(turn % 5 == 1, F.concat(F.lit('"'), number, F.lit('"')))
+        .when(turn % 5 == 2, F.concat(F.lit("["), number, F.lit(',"x"]')))
+        .when(turn % 5 == 3, text)
+        .otherwise(F.lit("true"))
+    )
+    line = F.concat(F.lit('{"conv":'), F.col("conv_id").cast("string"), F.lit(',"turn":'), number, F.lit(',"value":'), value, F.lit("}"))
+    return table(spark, sf_dir, "conversations").select(line.alias("value"))
+
+
+def odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw samples, some in a list of their own and some cut off."""
+    value = F.col("value")
+    return raw_samples(spark, sf_dir).select(F.when(F.col("turn") == 4, F.concat(F.lit("["), value, F.lit("]"))).otherwise(value).alias("value"))
+
+
 def eval_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user turn as an evaluation prompt, numbered, with the answer that followed.
 
@@ -102,11 +142,11 @@ def eval_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     neither or an empty one, so that every branch of the record is used.
     """
     turns = table(spark, sf_dir, "conversations")
-    asked = turns.where(F.col("role") == "user").select("conv_id", "turn", "text")
+    asked = turns.where(F.col("role") == "user").select("conv_id", "turn", "text").transform(tm.number_rows, "conv_id", "turn")
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
-    numbered = asked.join(answered, ["conv_id", "turn"], "left").transform(tm.number_rows, "conv_id", "turn")
+    numbered = asked.join(answered, ["conv_id", "turn"], "left")
     text, turn, size = F.col("text"), F.col("turn"), F.length("text")
     message = F.array(F.struct(F.lit("user").alias("role"), text.alias("content")))
     category = F.when(F.contains(text, F.lit("?")), F.lit("question")).otherwise(F.lit("statement"))

@@ -64,6 +64,10 @@ def rendered(line: str, between: str, alias: str = "text") -> str:
     return f"string_agg({line}, {between} ORDER BY turn) AS {alias}"
 
 
+SPARSE_TURNS = """sparse AS (
+  SELECT CASE WHEN conv_id % 3 = 0 THEN 0 ELSE conv_id END AS conv_id, (conv_id * 100 + turn // 2) * 1000000 AS turn, role, text
+  FROM conversations)"""
+
 TAGGED = "'<|im_start|>' || role || chr(10) || content || '<|im_end|>' || chr(10)"
 
 RAW = """said AS (
@@ -125,6 +129,23 @@ EVAL_TURNS = """numbered AS (
 
 ORACLES = {
     "jsonl_roundtrip": f"WITH {messages('conversations')} SELECT conv_id, msg_idx, role, content FROM msgs",
+    "jsonl_mixed_types": """SELECT conv_id AS conv, turn, CASE turn % 5 WHEN 0 THEN turn::VARCHAR WHEN 1 THEN '"' || turn || '"'
+          WHEN 2 THEN '[' || turn || ',"x"]' WHEN 3 THEN CAST(to_json({'t': text}) AS VARCHAR) ELSE 'true' END AS value FROM conversations""",
+    "jsonl_quarantine": f"""WITH {RAW}, odd AS (
+          SELECT CASE WHEN turn = 4 THEN '[' || value || ']' ELSE value END AS value FROM raw), judged AS (
+          SELECT value, CASE WHEN NOT json_valid(value) THEN 'not valid JSON' WHEN json_type(value) <> 'OBJECT' THEN 'not an object' END AS reason
+          FROM odd)
+        SELECT CAST(NULL AS VARCHAR) AS content, CAST(NULL AS BIGINT) AS id, value AS text, reason FROM judged WHERE reason IS NOT NULL
+        UNION ALL SELECT coalesce(json_extract_string(value, '$.text.content'), json_extract_string(value, '$.messages[0].content'),
+          json_extract_string(value, '$.messages.content')), CAST(json_extract(value, '$.id') AS BIGINT), NULL, NULL
+        FROM (SELECT value FROM judged WHERE reason IS NULL)""",
+    "stream_curate": f"""WITH {DOC_PAIRS}
+        SELECT doc_id, CASE WHEN CAST('0x' || left(md5('42:' || CAST(doc_id AS VARCHAR)), 8) AS BIGINT) / 4294967296.0::DOUBLE
+                 < 0.9::DOUBLE THEN 'train' ELSE 'val' END AS split, 'user' AS first_role, {redact(clean('Context'))} AS question,
+               'assistant' AS second_role, {redact(clean('Response'))} AS answer FROM doc_pairs WHERE {VALID}""",
+    "published_splits": """WITH s AS (SELECT doc_id, text, CASE WHEN CAST('0x' || left(md5('7:' || CAST(doc_id AS VARCHAR)), 8) AS BIGINT)
+          / 4294967296.0::DOUBLE < 0.9::DOUBLE THEN 'train' ELSE 'val' END AS split FROM documents)
+        SELECT *, count(*) OVER (PARTITION BY split) AS reported FROM s""",
     "load_splits": f"""WITH {PREPARED}
         SELECT doc_id, CASE split WHEN 'val' THEN 'validation' ELSE split END AS split,
                'user' AS first_role, question, 'assistant' AS second_role, answer FROM prepared""",
@@ -140,6 +161,14 @@ ORACLES = {
         FROM gapped WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
         SELECT conv_id, turn, text AS Context, next_text AS Response FROM t
         WHERE role = 'user' AND next_role = 'assistant'""",
+    "turn_pairs_sparse": f"""WITH {SPARSE_TURNS}, t AS (
+          SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
+          FROM sparse WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+        SELECT conv_id, turn, text AS Context, next_text AS Response FROM t
+        WHERE role = 'user' AND next_role = 'assistant'""",
+    "turn_messages_sparse": f"""WITH {SPARSE_TURNS}
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS msg_idx, role, text AS content
+        FROM sparse""",
     "keyed_rows": "SELECT row_number() OVER (PARTITION BY text) - 1 AS copy, text FROM documents",
     "clean_text": f"WITH {DIRTY_TURNS} SELECT conv_id, turn, {clean('text')} AS text FROM dirty_turns",
     "filter_valid": f"WITH {DOC_PAIRS} SELECT doc_id, Context, Response FROM doc_pairs WHERE {VALID}",
@@ -162,9 +191,13 @@ ORACLES = {
           SELECT doc_id, {clean('Context')} AS question, {clean('Response')} AS answer FROM doc_pairs)
         SELECT doc_id, 'user' AS first_role, question, 'assistant' AS second_role, answer FROM s
         WHERE len(regexp_extract_all(question || ' ' || answer, '\S+')) <= 512""",
+    "filter_long_counted": rf"""WITH {DOC_PAIRS}, s AS (
+          SELECT doc_id, {clean('Context')} AS question, {clean('Response')} AS answer FROM doc_pairs)
+        SELECT doc_id, 'user' AS first_role, question, 'assistant' AS second_role, answer FROM s
+        WHERE len(regexp_extract_all(question || ' ' || answer, '[A-Za-z]+|[0-9]')) + 2 <= 300""",
     "validate_messages": f"""WITH mixed AS (
-          SELECT conv_id, turn, CASE WHEN conv_id % 5 = 0 AND turn = 1 THEN 'bot' ELSE role END AS role, text
-          FROM conversations WHERE conv_id % 4 <> 0 OR turn = 0), {messages('mixed')}
+          SELECT conv_id, turn, CASE WHEN conv_id % 5 = 0 AND turn = 1 THEN 'bot' ELSE role END AS role, text FROM conversations
+          UNION ALL SELECT -1 - conv_id, turn, role, text FROM conversations WHERE turn = 0), {messages('mixed')}
         SELECT conv_id, count(*) >= 2 AND bool_and(role IN ('user', 'assistant', 'system')) AS valid
         FROM msgs GROUP BY ALL""",
     "validate_messages_json": f"""WITH {RAW}, parsed AS (
@@ -229,10 +262,12 @@ ORACLES = {
         FROM documents""",
     "split_hash": """SELECT doc_id, CASE WHEN CAST('0x' || left(md5('7:' || CAST(doc_id AS VARCHAR)), 8) AS BIGINT) / 4294967296.0::DOUBLE
           < 0.9::DOUBLE THEN 'train' ELSE 'val' END AS split FROM documents""",
-    "pii_counts": f"""WITH {DIRTY_TURNS}, hits AS (
+    "pii_counts": f"""WITH {DIRTY_TURNS}, texts AS (
+          SELECT text || ' 5551234567@x.com and 5551234567.b@y.org 123-45-6789@z.org' AS text FROM dirty_turns), replaced AS (
+          SELECT text, {redact('text', EMAIL)} AS no_mail, {redact('text', EMAIL, PHONE)} AS no_phone FROM texts), hits AS (
           SELECT k.kind, len(CASE k.kind WHEN 'email' THEN regexp_extract_all(text, '{EMAIL}')
-            WHEN 'phone' THEN regexp_extract_all(text, '{PHONE}') ELSE regexp_extract_all(text, '{SSN}') END) AS n
-          FROM dirty_turns, (VALUES ('email'), ('phone'), ('ssn')) k(kind))
+            WHEN 'phone' THEN regexp_extract_all(no_mail, '{PHONE}') ELSE regexp_extract_all(no_phone, '{SSN}') END) AS n
+          FROM replaced, (VALUES ('email'), ('phone'), ('ssn')) k(kind))
         SELECT kind, sum(n)::BIGINT AS n_hits, count(*) FILTER (n > 0) AS n_rows FROM hits GROUP BY kind""",
     "skip_reasons": f"""WITH {DOC_PAIRS}, faults AS (
           SELECT CASE WHEN coalesce(Context, '') = '' THEN 'context missing' WHEN trim(Context, {WS}) = '' THEN 'context blank'

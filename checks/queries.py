@@ -37,6 +37,49 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_per_message(tm.read_jsonl(spark, path, schema), "conv_id")
 
 
+def jsonl_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field of several types, read without a schema and written back: every value is as it was."""
+    paths = [scratch_path(spark, f"mixed-{i}") for i in (1, 2)]
+    frames.mixed_lines(spark, sf_dir).write.text(paths[0])
+    tm.write_jsonl(tm.read_jsonl(spark, paths[0]), paths[1])
+    record = tm.read_records(spark, paths[1])
+    field = lambda name, kind: F.variant_get("record", f"$.{name}", kind)
+    same = F.to_json(field("value", "variant")).alias("value")
+    return record.select(field("conv", "long").alias("conv"), field("turn", "long").alias("turn"), same)
+
+
+def jsonl_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad lines told apart without a schema."""
+    path = scratch_path(spark, "lines")
+    frames.odd_lines(spark, sf_dir).write.text(path)
+    good, bad = tm.quarantine_jsonl(spark, path)
+    inside = lambda at: F.try_variant_get("messages", at, "string")
+    content = F.coalesce(F.col("text.content"), inside("$[0].content"), inside("$.content"))
+    none = F.lit(None).cast("string")
+    rows = good.select(content.alias("content"), F.col("id").cast("long").alias("id"), none.alias("text"), none.alias("reason"))
+    return rows.unionByName(bad.select(none.alias("content"), F.lit(None).cast("long").alias("id"), "text", "reason"))
+
+
+def stream_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document pairs curated as a stream of files, twice: the second call finds nothing new."""
+    out, log = scratch_path(spark, "stream"), scratch_path(spark, "stream-log")
+    schema = frames.table(spark, sf_dir, "documents").schema
+    for _ in range(2):
+        docs = tm.read_files(spark, f"{sf_dir}/documents.parquet", schema)
+        tm.write_files(tm.curate_pairs(frames.pairs_of(docs), "doc_id", tm.PrepareConfig(train_split=0.9)), out, log)
+    return _two_sides(spark.read.parquet(out), "doc_id", "split")
+
+
+def published_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two datasets published one after the other; the second is what readers find."""
+    docs, out = frames.table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "published")
+    tm.publish_splits(tm.split_hash(docs, "doc_id", 0.5, seed=1), out)
+    tm.publish_splits(tm.split_hash(docs, "doc_id", 0.9, seed=7), out)
+    found = tm.published(spark, out)
+    splits = tm.union_splits(tm.load_splits(spark, found.paths, docs.schema))
+    return splits.select("doc_id", "text", "split", F.when(F.col("split") == "train", found.rows["train"]).otherwise(found.rows["val"]).cast("long").alias("reported"))
+
+
 def load_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two splits written in one job, loaded by name and put together again."""
     path = scratch_path(spark, "splits")
@@ -83,6 +126,16 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.turns_to_pairs(frames.gapped_turns(spark, sf_dir))
 
 
+def turn_pairs_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs across measured stretches of a huge conversation with gaps and repeated numbers."""
+    return tm.turns_to_pairs(frames.sparse_turns(spark, sf_dir), block=500)
+
+
+def turn_messages_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same conversations as samples."""
+    return _one_per_message(tm.turns_to_messages(frames.sparse_turns(spark, sf_dir), block=500), "conv_id")
+
+
 def keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unique keys for texts that come without one and with copies."""
     texts = frames.table(spark, sf_dir, "documents").select("text")
@@ -134,6 +187,18 @@ def filter_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_sides(samples, "doc_id")
 
 
+def filter_long_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The length filter with a caller's own measure, over Arrow batches."""
+
+    def make():
+        import pyarrow.compute as pc
+
+        return lambda texts: pc.count_substring_regex(texts, "[A-Za-z]+|[0-9]")
+
+    samples = frames.doc_samples(spark, sf_dir).transform(tm.filter_long, counter=tm.arrow_counter(make, "words and digits"), max_length=300, special_tokens=2)
+    return _two_sides(samples, "doc_id")
+
+
 def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = tm.turns_to_messages(frames.mixed_turns(spark, sf_dir))
     return samples.select("conv_id", tm.validate_messages(_messages()).alias("valid"))
@@ -234,7 +299,7 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tm.pii_counts(frames.dirty_turns(spark, sf_dir))
+    return tm.pii_counts(frames.overlapping_turns(spark, sf_dir))
 
 
 def skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,12 +391,18 @@ QUERIES = {
     f.__name__: f
     for f in (
         jsonl_roundtrip,
+        jsonl_mixed_types,
+        jsonl_quarantine,
+        stream_curate,
+        published_splits,
         load_splits,
         eval_prompt_file,
         scan_pairs,
         source_profile,
         turn_messages,
         turn_pairs,
+        turn_pairs_sparse,
+        turn_messages_sparse,
         keyed_rows,
         clean_text,
         filter_valid,
@@ -341,6 +412,7 @@ QUERIES = {
         render_plain,
         render_tagged,
         filter_long,
+        filter_long_counted,
         validate_messages,
         validate_messages_json,
         schema_issues,

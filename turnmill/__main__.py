@@ -12,6 +12,7 @@ from turnmill.operators.evals import eval_summary, first_responses
 from turnmill.operators.stats import dataset_stats
 from turnmill.plans.evaluate import results_of, write_results
 from turnmill.plans.prepare import prepare_to_jsonl
+from turnmill.sinks.publish import is_published, published
 from turnmill.sources.jsonl import load_splits, read_eval_prompts, read_jsonl, union_splits
 from turnmill.sources.pairs import read_pairs
 
@@ -37,7 +38,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     _options(prepare, PrepareConfig)
 
     stats = commands.add_parser("stats", help="figures of stored splits")
-    stats.add_argument("train")
+    stats.add_argument("train", help="a split, or the output folder of prepare for what is published there")
     stats.add_argument("validation", nargs="?")
 
     results = commands.add_parser("results", help="evaluation prompts and responses to result records")
@@ -58,7 +59,10 @@ def run_prepare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_stats(spark: SparkSession, args: argparse.Namespace) -> None:
-    splits = load_splits(spark, {"train": args.train, "validation": args.validation})
+    paths = {"train": args.train, "validation": args.validation}
+    if args.validation is None and is_published(spark, args.train):
+        paths = published(spark, args.train).paths
+    splits = load_splits(spark, paths)
     dataset_stats(union_splits(splits), by="split").show(truncate=False, vertical=True)
 
 

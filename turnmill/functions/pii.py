@@ -56,7 +56,11 @@ def redact_pii(col: Column, placeholder: str = PLACEHOLDER, kinds: Sequence[str]
     out = col
     if "email" in kinds:
         suspicious = has_at
-        out = F.when(has_at, F.regexp_replace(col, _email_pattern(), "$1" + new)).otherwise(col)
+        # No address begins before the word that holds the first sign; what is before it is only copied.
+        before = F.substring_index(col, "@", 1)
+        kept = F.length(before) - F.length(F.substring_index(before, " ", -1))
+        rest = F.regexp_replace(F.substr(col, kept + 1), _email_pattern(), "$1" + new)
+        out = F.when(has_at, F.concat(F.left(col, kept), rest)).otherwise(col)
     if "phone" in kinds or "ssn" in kinds:
         suspicious = suspicious | col.rlike(f"{DIGIT}{{3}}")
     if "phone" in kinds:
@@ -66,10 +70,23 @@ def redact_pii(col: Column, placeholder: str = PLACEHOLDER, kinds: Sequence[str]
     return F.when(suspicious, out).otherwise(col)
 
 
-def hits(col: Column, kind: str) -> Column:
-    """How many hits of one kind the text holds, each kind by itself; NULL has none."""
-    patterns = {"email": _email_pattern, "phone": lambda: _number_pattern(PHONE), "ssn": lambda: _number_pattern(SSN)}
-    return F.coalesce(F.regexp_count(col, F.lit(patterns[kind]())), F.lit(0))
+def _pattern(kind: str) -> str:
+    return _email_pattern() if kind == "email" else _number_pattern(PHONE if kind == "phone" else SSN)
+
+
+def hits(col: Column, placeholder: str = PLACEHOLDER, kinds: Sequence[str] = KINDS) -> dict[str, Column]:
+    """How many hits of each kind ``redact_pii`` replaces, in its order; NULL has none.
+
+    A kind is counted in the text in which the kinds before it are replaced already, so what belongs to an
+    address is no phone number as well.
+    """
+    found = {}
+    for i, kind in enumerate(k for k in KINDS if k in kinds):
+        before = [k for k in KINDS if k in kinds][:i]
+        text = redact_pii(col, placeholder, before) if before else col
+        possible = F.contains(col, F.lit("@")) if kind == "email" else col.rlike(f"{DIGIT}{{3}}")
+        found[kind] = F.when(possible, F.regexp_count(text, F.lit(_pattern(kind)))).otherwise(0)
+    return found
 
 
 def redact_contents(messages: Column, placeholder: str = PLACEHOLDER, kinds: Sequence[str] = KINDS) -> Column:

@@ -46,7 +46,8 @@ def skip_reasons(df: DataFrame, min_len: int = 10, max_len: int = 8000) -> DataF
 
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words, the default length measure."""
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+"))
+    # Blanks first: a class of one character is much cheaper than one of 29, which each character is tried against.
+    return F.regexp_count(F.translate(text, WHITESPACE, " " * len(WHITESPACE)), F.lit("[^ ]+"))
 
 
 def within_length(
@@ -73,9 +74,9 @@ def filter_long(
 ) -> DataFrame:
     """Keep samples of at most ``max_length`` tokens over all their contents.
 
-    ``counter`` maps a text column to a count; pass a ``pandas_udf`` around a tokenizer for
-    true token counts, and its number of special tokens as ``special_tokens``.  A NULL
-    content counts as empty, so the sample stays for the content check to report.
+    ``counter`` maps a text column to a count; pass ``arrow_counter`` around a tokenizer for
+    true token counts, and its number of special tokens as ``special_tokens``.  It is evaluated once per
+    sample.  A NULL content counts as empty, so the sample stays for the content check to report.
     """
     once = compute_once(df, messages, F.col(messages))
     return once.where(within_length(F.col(messages), counter, max_length, special_tokens))

@@ -1,9 +1,8 @@
 """From pairs to a checked, shuffled and split chat dataset."""
 
-import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from turnmill.config import PrepareConfig
 from turnmill.operators.adapt import pairs_to_messages
@@ -11,7 +10,7 @@ from turnmill.operators.filters import filter_valid, pair_validity
 from turnmill.operators.issues import assert_valid, sample_issues, schema_issues
 from turnmill.operators.order import preview, seeded_layout, smoke_sample
 from turnmill.operators.split import TRAIN, VALIDATION, split_exact
-from turnmill.sinks.jsonl import write_jsonl, write_splits
+from turnmill.sinks.publish import publish, qualified, stage_splits
 from turnmill.sources.jsonl import read_jsonl
 from turnmill.storage import materialize
 
@@ -92,6 +91,7 @@ def prepare_to_jsonl(
     Two passes over the input.  The first writes a narrow ledger of keys, sizes and issues,
     from which the figures and the split are read.  The second writes both splits in shuffled
     order, in files of at most about ``file_bytes``, and counts their rows as it does so.
+    They are published together when both are whole; until then ``published`` gives the pair before.
     Nothing is written to the output when a key is NULL or repeated, when a sample breaks the
     schema, or when ``out`` holds an input file.
     """
@@ -117,18 +117,11 @@ def prepare_to_jsonl(
     split = prepare(pairs, key, config, keys)
     partitions = _partitions(figures["bytes"] or 0, file_bytes, pairs.sparkSession.sparkContext.defaultParallelism)
     shuffled = seeded_layout(split, key, partitions, config.seed, first=("split",))
-    seen = Observation()
-    counted = shuffled.observe(seen, *(F.count_if(F.col("split") == name).alias(name) for name in (TRAIN, VALIDATION)))
-    written = write_splits(counted.select("messages", "split"), config.out)
-    sizes = {name: seen.get[name] for name in (TRAIN, VALIDATION)}
-    if written != figures["kept"] or sum(sizes.values()) != written:
-        raise RuntimeError(f"{figures['kept']} pairs are usable, {written} were written")
-
-    paths = {name: f"{config.out}/split={name}" for name in sizes}
-    for name, size in sizes.items():
-        if not size:
-            # An empty split is an empty folder, so that readers find it.
-            write_jsonl(samples.select("messages").limit(0), paths[name])
+    staged = stage_splits(shuffled.select("messages", "split"), config.out)
+    sizes, paths = staged.rows, staged.paths
+    if sum(sizes.values()) != figures["kept"]:
+        raise RuntimeError(f"{figures['kept']} pairs are usable, {sum(sizes.values())} were written")
+    publish(pairs.sparkSession, config.out, staged)
 
     placed = split_exact(keys, key, config.train_split, config.seed)
     first = smoke_sample(placed.where(F.col("split") == TRAIN).select(key), key, config.preview, config.seed)
@@ -145,11 +138,14 @@ def prepare_to_jsonl(
 
 
 def _refuse_inputs_inside(pairs: DataFrame, out: str) -> None:
-    """Writing must not replace what is still to be read."""
-    bare = lambda path: re.sub(r"^file:/+", "/", path).rstrip("/")
-    inside = [path for path in pairs.inputFiles() if bare(path).startswith(bare(out) + "/")]
-    if inside:
-        raise ValueError(f"the output folder holds the input file {inside[0]}")
+    """Publishing removes old versions, so nothing under the output folder may be read; nor may it lie in an input file."""
+    spark = pairs.sparkSession
+    folder = qualified(spark, out)
+    inside = lambda path, holder: f"{path}/".startswith(f"{holder}/")
+    for path in pairs.inputFiles():
+        file = qualified(spark, path, encoded=True)
+        if inside(file, folder) or inside(folder, file):
+            raise ValueError(f"the output folder {folder} and the input file {file} lie in each other")
 
 
 def _first_written(first: DataFrame, path: str, key: str, samples: DataFrame) -> DataFrame:

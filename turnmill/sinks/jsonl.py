@@ -20,10 +20,18 @@ def write_jsonl(df: DataFrame, path: str, keep_nulls: bool = False) -> int:
     return seen.get["rows"]
 
 
+def write_records(df: DataFrame, path: str, record: str = "record") -> int:
+    """Write a VARIANT column, a line each, replacing what is there; returns the number of rows."""
+    rows, seen = _counted(df.select(F.to_json(F.col(record)).alias("value")))
+    rows.write.mode("overwrite").text(path)
+    return seen.get["rows"]
+
+
 def write_splits(df: DataFrame, out: str) -> int:
     """Write the rows under ``out/split=<name>`` in one job and return their number.
 
-    Only the folders of splits that have rows are replaced; whatever else is in ``out`` stays.
+    Only the folders of splits that have rows are replaced, one after the other; whatever else is in ``out``
+    stays.  ``publish_splits`` replaces them together.
     Rows keep the order they come in: a frame sorted by split and position needs no
     further sort.
     """

@@ -9,7 +9,10 @@ recomputation with another row layout.
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+#: Tables of at most so many narrow rows are broadcast; larger ones are joined by a shuffle.
+SMALL = 500_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -35,3 +38,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     # One file per task, whatever the session says: the numbering counts on it.
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Mark a written table of narrow rows for broadcast, if its count says that it is small."""
+    return F.broadcast(df) if df.count() <= SMALL else df
