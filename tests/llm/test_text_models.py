@@ -63,6 +63,25 @@ def test_simhash_of_awkward_rows(awkward, nothing):
     assert simhash.near_duplicates(nothing).collect() == [] and simhash.one_of_each(nothing).collect() == []
 
 
+def test_one_row_of_each_component_without_ids(spark):
+    base = " ".join(f"word{i}" for i in range(400))
+    rows = [(None, base + f" w{i % 3}") for i in range(40)] + [(None, "quite another text"), (7, "a third one"), (7, "a third one"), (None, "a third one"), (None, None), (3, " ")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS fp", "2 AS number").repartition(4)).collect()
+    near = brute_links([brute_fingerprint(base + f" w{i}") for i in range(3)])
+    assert len([r for r in kept if (r["text"] or "").startswith("word")]) == len(near)
+    assert [r["doc_id"] for r in kept if r["text"] == "a third one"] == [7]
+    assert [r["doc_id"] for r in kept if not (r["text"] or "").strip()] == [3]
+
+
+def brute_links(prints):
+    """Groups of equal or close fingerprints."""
+    groups = []
+    for p in prints:
+        near = [g for g in groups if any((p ^ q).bit_count() <= 3 for q in g)]
+        groups = [g for g in groups if g not in near] + [{p}.union(*near)]
+    return groups
+
+
 def close_prints():
     choose = random.Random(3)
     prints = set()
@@ -116,12 +135,72 @@ def test_held_out_languages(tables):
     assert language_id.keep_identified(tables("documents")).count() >= 0.99 * len(rows)
 
 
-def test_backoff_takes_the_longest_known_grams():
-    model = language_id.Model(["a", "b"], {"cat": 0}, {" c": 1, "t": 2}, np.log10(np.array([[0.5, 0.1], [0.2, 0.1], [0.1, 0.9]], np.float32)))
-    assert language_id.predictor(model)("cat")[0] == "a"
-    assert language_id.predictor(model)("cx tt")[0] == "b"  # c- says a a little, t says b much
-    assert language_id.predictor(model)("ж") == ("a", 0.5)
-    assert language_id.predictor(model)("½ 12")[0] == language_id.predictor(model)(None)[0] == "und"
+class PlainLanguages:
+    """The same model in dictionaries."""
+
+    def __init__(self, rows):
+        self.counts, self.totals = {}, Counter()
+        for lang, text in rows:
+            if lang is None or text is None:
+                continue
+            for word in language_id.words_of(text):
+                for kind, unit in [(0, word)] + [(n, g) for n in language_id.ORDERS for g in language_id.grams(word, n)]:
+                    self.counts.setdefault((kind, unit), Counter())[lang] += 1
+                    self.totals[lang, kind] += 1
+        words = {lang: n for (lang, kind), n in self.totals.items() if kind == 0}
+        self.langs = sorted(words, key=lambda x: (-words[x], x))
+
+    def row(self, kind, unit):
+        own = self.counts.get((kind, unit))
+        if own is None:
+            return None
+        return np.array([np.log10(own[x] / self.totals[x, kind]) if own[x] else language_id.PENALTY for x in self.langs])
+
+    def word(self, word):
+        row = self.row(0, word)
+        for n in language_id.ORDERS:
+            found = [r for r in (self.row(n, g) for g in language_id.grams(word, n)) if r is not None]
+            if row is None and found:
+                row = np.mean(found, axis=0)
+        return row
+
+    def predict(self, text):
+        words = language_id.words_of(text)
+        if not any(c.isalpha() for w in words for c in w):
+            return "und", 0.0
+        rows = [r for r in map(self.word, words) if r is not None]
+        if not rows:
+            return self.langs[0], 1 / len(self.langs)
+        mean = np.mean(rows, axis=0)
+        best = int(np.argmax(mean))
+        return self.langs[best], 1 / np.exp((mean - mean[best]) * min(len(rows), 50) * np.log(10)).sum()
+
+
+@pytest.mark.parametrize("shard", [1 << 20, 3000])
+def test_languages_by_brute_force(spark, tables, shard, monkeypatch):
+    monkeypatch.setattr(language_id, "COUNTED", 2000)
+    docs = tables("documents").where("doc_id < 120")
+    rows = [(r["lang"] if i % 7 else None, r["text"]) for i, r in enumerate(docs.orderBy("doc_id").collect())]
+    learned, asked = rows[:80], [t for _, t in rows] + [None, "", "12 !", "ж", "ǆǆǆ", "½", "the qzx", "x" * 500]
+    model, plain = language_id.train(spark.createDataFrame(learned, "lang string, text string"), shard), PlainLanguages(learned)
+    assert model.langs == plain.langs and (model.bits > 2) == (shard < 1 << 20)
+    got, want = language_id.predictor(model)(asked), [plain.predict(t) for t in asked]
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-3, atol=1e-9)
+    monkeypatch.setattr(language_id, "REMEMBERED", 40)
+    monkeypatch.setattr(language_id, "BLOCK_CHARS", 1000)
+    again = language_id.predictor(model)(asked)
+    assert np.allclose([g[1] for g in again], [g[1] for g in got]) and [g[0] for g in again] == [g[0] for g in got]
+
+
+def test_every_counted_unit_is_found_in_every_language(spark):
+    rows = [("a", "rare rare rare common"), ("b", "common common x"), ("c", "y")]
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"), 5)
+    scores, plain = language_id.Scores(model), PlainLanguages(rows)
+    units = list(plain.counts)
+    found = scores.find([("w" if kind == 0 else str(kind), unit) for kind, unit in units])
+    assert np.allclose(found[:, :-1], [plain.row(*u) for u in units]) and (found[:, -1] == 1).all()
+    assert not scores.find([("w", "absent"), ("4", "rare!")]).any()
 
 
 def test_languages_of_awkward_rows(awkward, nothing):
@@ -184,13 +263,3 @@ def test_language_model_on_awkward_rows(awkward, nothing):
     assert len(rows) == 11 and sorted(r["n_tokens"] for r in rows)[:3] == [1, 1, 1]
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
     assert kneser_ney.score_documents(nothing).collect() == []
-
-
-def test_a_kept_word_has_its_count_in_every_language(spark, monkeypatch):
-    """``shared`` is among the most frequent words of one language only."""
-    monkeypatch.setattr(language_id, "MODEL_WORDS", 4)
-    rows = [("a", "shared shared shared one"), ("b", "two two two three three three shared")]
-    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
-    row = model.table[model.words["shared"]]
-    assert row[model.langs.index("a")] == pytest.approx(np.log10(3 / 4))
-    assert row[model.langs.index("b")] == pytest.approx(np.log10(1 / 7))

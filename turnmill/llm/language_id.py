@@ -3,42 +3,44 @@
 A known word counts with its log frequency in each language.  An unseen word counts with the mean over
 its longest known character n-grams: four characters, else three, two, one.  A text's score for a
 language is the mean over its words.
+
+Every word and n-gram of the training texts is kept.  The counts go to shards by the hash of the unit; a shard is
+three arrays (hash, language, log frequency), sorted by hash, in the shared folder.  Workers map them and look up
+the words that they meet.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import remainder, staged
+from turnmill.llm.common import local_path, remainder, shared_path, staged
+from turnmill.llm.kneser_ney import save
 
 UNKNOWN = "und"
 
 #: n-gram lengths, longest first.
 ORDERS = (4, 3, 2, 1)
 
-#: Sizes of the model, shared equally by the languages: they bound what is broadcast.  All words and n-grams
-#: are counted; those beyond these numbers are scored by shorter n-grams.
-MODEL_WORDS = 200_000
-MODEL_GRAMS = 200_000
-
-#: Longer words are never in the word table (their n-grams are).
-WORD_CHARS = 40
-
 #: log10 frequency of a unit in a language that lacks it.
 PENALTY = -7.0
 
-#: Units a task counts before it passes them on; unseen words a worker remembers.
+#: Units a task counts before it passes them on; entries of a shard, about.
 COUNTED = 300_000
-REMEMBERED = 200_000
+SHARD = 1 << 20
+
+#: Words a worker remembers at most, and bytes for their scores; characters of texts looked at together.
+REMEMBERED = 300_000
+SCORE_BYTES = 64 << 20
+BLOCK_CHARS = 1 << 20
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -89,112 +91,140 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _rows(counts, ["lang", "size", "unit", "n"])
 
 
-def _most_frequent(counts: DataFrame, by: list[str], most: int) -> Iterator:
-    """The ``most`` largest units of each group, with their counts in all groups; salted, so that no task orders
-    a whole group."""
-    salted = counts.withColumn("salt", F.pmod(F.xxhash64("unit"), F.lit(64)))
-    order = (F.desc("n"), F.col("unit"))
-    first = salted.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "salt").orderBy(*order)))
-    first = first.where(F.col("rank") <= most).drop("rank", "salt")
-    last = first.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    kept = staged(last.where(F.col("rank") <= most).select("unit").distinct(), "lang-kept")
-    return counts.join(F.broadcast(kept), "unit").toLocalIterator()  # units bounded by ``most`` a group
-
-
 @dataclass
 class Model:
-    """Languages, the most frequent first; log10 frequencies per word and n-gram and language."""
+    """Languages, the most frequent first, and where the log10 frequencies of all units are."""
 
     langs: list[str] = field(default_factory=list)
-    words: dict[str, int] = field(default_factory=dict)
-    grams: dict[str, int] = field(default_factory=dict)  # n-grams of all lengths; rows after the words
-    table: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    folder: str = ""
+    bits: int = 0
+
+
+def unit_key(kind: str, unit: str) -> int:
+    """The unit's hash; ``kind`` is ``w`` for words, else the n-gram's length."""
+    return xxhash.xxh64_intdigest((kind + unit).encode(), 42)
+
 
+def _write_shard(group: pd.DataFrame, folder: str) -> pd.DataFrame:
+    shard = int(group["shard"].iloc[0])
+    keys = group["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.lexsort((group["lang_id"].to_numpy(), keys))
+    save(f"{folder}/langs-{shard}.npy", group["lang_id"].to_numpy(np.int32)[order])
+    save(f"{folder}/shares-{shard}.npy", group["share"].to_numpy(np.float32)[order])
+    save(f"{folder}/keys-{shard}.npy", keys[order])
+    return pd.DataFrame({"n": [len(keys)]})
 
-def train(docs: DataFrame) -> Model:
-    """Fit a model to columns text and lang; rows where one is NULL are left out."""
+
+def train(docs: DataFrame, shard: int = SHARD) -> Model:
+    """Fit a model to columns text and lang; rows where one is NULL are left out.  ``shard``: entries of a shard."""
+    spark = docs.sparkSession
     labelled = docs.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     words = staged(
         labelled.mapInPandas(_count_words, "lang string, unit string, n long").groupBy("lang", "unit").agg(F.sum("n").alias("n")),
         "lang-words",
     )
-    totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if not totals:
-        return Model()
-    langs = sorted(totals, key=lambda x: (-totals[x], x))
     counted = words.mapInPandas(_count_grams, "lang string, size int, unit string, n long")
     parts = staged(counted.groupBy("lang", "size", "unit").agg(F.sum("n").alias("n")), "lang-grams")
-    gram_totals = {(r["lang"], r["size"]): r["n"] for r in parts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
-    short = words.where(F.length("unit") <= WORD_CHARS)
-    known = _most_frequent(short, ["lang"], max(1, MODEL_WORDS // len(langs)))
-    known_grams = _most_frequent(parts, ["lang", "size"], max(1, MODEL_GRAMS // len(langs) // len(ORDERS)))
-
-    model = Model(langs)
+    units = words.withColumn("size", F.lit(0)).unionByName(parts)
+    totals = units.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.count("n").alias("entries")).collect()  # a few per language
+    of_words = {r["lang"]: r["n"] for r in totals if r["size"] == 0}
+    if not of_words:
+        return Model()
+    langs = sorted(of_words, key=lambda x: (-of_words[x], x))
     place = {lang: i for i, lang in enumerate(langs)}
-    rows, columns, values = array("l"), array("l"), array("f")
-
-    def add(row: int, lang: str, share: float) -> None:
-        rows.append(row)
-        columns.append(place[lang])
-        values.append(np.log10(share))
+    bits = max(0, int(np.ceil(np.log2(sum(r["entries"] for r in totals) / shard))))
+    folder = local_path(shared_path(spark, "lang-shards"))
+    of = spark.createDataFrame([(r["lang"], r["size"], place[r["lang"]], r["n"]) for r in totals], "lang string, size int, lang_id int, total long")
+    kind = F.when(F.col("size") == 0, "w").otherwise(F.col("size").cast("string"))
+    key = F.xxhash64(F.concat(kind, F.col("unit")))
+    number = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0)
+    entries = units.join(F.broadcast(of), ["lang", "size"]).select(key.alias("key"), "lang_id", F.log10(F.col("n") / F.col("total")).cast("float").alias("share"))
+    entries = entries.select(number.cast("long").alias("shard"), "key", "lang_id", "share")
+    entries.groupBy("shard").applyInPandas(lambda group: _write_shard(group, folder), "n long").agg(F.sum("n")).collect()
+    return Model(langs, folder, bits)
 
-    for r in known:
-        add(model.words.setdefault(r["unit"], len(model.words)), r["lang"], r["n"] / totals[r["lang"]])
-    for r in known_grams:
-        row = model.grams.setdefault(r["unit"], len(model.words) + len(model.grams))
-        add(row, r["lang"], r["n"] / gram_totals[r["lang"], r["size"]])
-    model.table = np.full((len(model.words) + len(model.grams), len(langs)), PENALTY, np.float32)
-    model.table[np.asarray(rows), np.asarray(columns)] = values
-    return model
 
-
-class _Scores(dict):
-    """Row of the score table per word; unseen words get a row of their own for a while.
+class Scores:
+    """Scores of words per language, looked up in the shards many at a time and remembered for a while.
 
     The last column says whether the word tells anything at all.
     """
 
     def __init__(self, model: Model):
-        super().__init__(model.words)
-        self.model, self.first = model, len(model.table)
-        self.table = np.zeros((self.first + REMEMBERED + 1, len(model.langs) + 1), np.float32)
-        self.table[: self.first, :-1] = model.table
-        self.table[: self.first, -1] = 1
-        self.next = self.first
-
-    def room(self) -> None:
-        if self.next > self.first + REMEMBERED // 2:
-            self.clear()
-            self.update(self.model.words)
-            self.next = self.first
-
-    def __missing__(self, word: str) -> int:
+        self.model, self.maps = model, {}
+        width = len(model.langs) + 1
+        self.most = max(1, min(REMEMBERED, SCORE_BYTES // (4 * width)))
+        self.table, self.rows = np.zeros((0, width), np.float32), {}
+
+    def array(self, name: str) -> np.ndarray:
+        if name not in self.maps:
+            self.maps[name] = np.load(f"{self.model.folder}/{name}.npy", mmap_mode="r")
+        return self.maps[name]
+
+    def find(self, units: list[tuple[str, str]]) -> np.ndarray:
+        """A row per (kind, unit): log frequencies, and 1 in the last column if the unit is known."""
+        keys = np.fromiter((unit_key(kind, unit) for kind, unit in units), np.uint64, len(units))
+        out = np.zeros((len(units), len(self.model.langs) + 1), np.float32)
+        order = np.argsort(keys)
+        keys, bits = keys[order], self.model.bits
+        shards = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+        cuts = np.searchsorted(shards, np.arange((1 << bits) + 1, dtype=np.uint64))
+        for shard in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            own = slice(cuts[shard], cuts[shard + 1])
+            known = self.array(f"keys-{shard}")
+            first = np.searchsorted(known, keys[own])
+            times = np.searchsorted(known, keys[own], side="right") - first
+            rows = order[own]
+            out[rows[times > 0]] = [PENALTY] * len(self.model.langs) + [1]
+            ends = np.cumsum(times)
+            at = np.arange(ends[-1]) - np.repeat(ends - times - first, times)
+            out[np.repeat(rows, times), self.array(f"langs-{shard}")[at]] = self.array(f"shares-{shard}")[at]
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Look up words that aren't remembered."""
+        if len(self.rows) + len(words) > self.most:
+            self.rows, self.table = {}, self.table[:0]
+        made = self.find([("w", w) for w in words])
+        open_ = np.flatnonzero(made[:, -1] == 0)
         for n in ORDERS:
-            rows = [r for r in map(self.model.grams.get, grams(word, n)) if r is not None]
-            if rows:
+            if not len(open_):
                 break
-        row = min(self.next, len(self.table) - 1)
-        self.table[row] = self.table[rows].mean(axis=0) if rows else 0
-        if self.next < len(self.table) - 1:
-            self[word] = row
-            self.next += 1
-        return row
+            own = [grams(words[i], n) for i in open_]
+            found = self.find([(str(n), g) for part in own for g in part])
+            of = np.repeat(np.arange(len(open_)), [len(part) for part in own])
+            sums = np.zeros((len(open_), made.shape[1]))
+            np.add.at(sums, of, found * found[:, -1:])
+            hit = sums[:, -1] > 0
+            made[open_[hit]] = sums[hit] / sums[hit, -1:]
+            open_ = open_[~hit]
+        start = len(self.table)
+        self.table = np.concatenate((self.table, made))
+        self.rows.update(zip(words, range(start, start + len(words))))
+
+    def total(self, words: list[str]) -> np.ndarray:
+        """Sum of the words' rows."""
+        out = np.zeros(len(self.model.langs) + 1)
+        for start in range(0, len(words), self.most):
+            part = words[start : start + self.most]
+            new = [w for w in dict.fromkeys(part) if w not in self.rows]
+            if new:
+                if len(self.rows) + len(new) > self.most:  # then all are looked up anew
+                    new = list(dict.fromkeys(part))
+                self.learn(new)
+            rows = np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))
+            out += self.table[rows].sum(axis=0, dtype=np.float64)
+        return out
 
 
 def predictor(model: Model):
-    """A function from a text to (language, share of the posterior)."""
-    scores = _Scores(model)
+    """A function from texts to a (language, share of the posterior) each."""
+    scores = Scores(model)
 
-    def predict(text: str | None) -> tuple[str, float]:
-        words = words_of(text)
+    def judge(words: list[str]) -> tuple[str, float]:
         if not model.langs or not any(c.isalpha() for word in words for c in word):  # the pattern lets numerals like a half pass
             return UNKNOWN, 0.0
-        total = np.zeros(len(model.langs) + 1)
-        for start in range(0, len(words), REMEMBERED // 2):
-            scores.room()
-            own = words[start : start + REMEMBERED // 2]
-            rows = np.fromiter(map(scores.__getitem__, own), np.int64, len(own))
-            total += scores.table[rows].sum(axis=0, dtype=np.float64)
+        total = scores.total(words)
         if not total[-1]:
             return model.langs[0], 1 / len(model.langs)
         mean = total[:-1] / total[-1]
@@ -202,6 +232,25 @@ def predictor(model: Model):
         weight = min(total[-1], 50) * np.log(10)
         return model.langs[best], float(1 / np.exp((mean - mean[best]) * weight).sum())
 
+    def predict(texts: list[str | None]) -> list[tuple[str, float]]:
+        found: list[tuple[str, float]] = []
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            held.append(words_of(text))
+            size += len(text or "")
+            if size >= BLOCK_CHARS:
+                found += judged(held)
+                held, size = [], 0
+        return found + judged(held)
+
+    def judged(held: list[list[str]]) -> list[tuple[str, float]]:
+        # What several texts have in common is looked up once, and many words at a time.
+        new = [w for w in set().union(*held) if w not in scores.rows] if model.langs else []
+        if new and len(new) <= scores.most // 2:
+            scores.learn(new)
+        return [judge(words) for words in held]
+
     return predict
 
 
@@ -212,7 +261,7 @@ def predicted(text: Column, model: Model, spark) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = predictor(shared.value)
         for texts in batches:
-            yield pd.DataFrame([predict(x) for x in texts], columns=["lang_pred", "score"]).astype({"score": "float64"})
+            yield pd.DataFrame(predict(texts.tolist()), columns=["lang_pred", "score"]).astype({"score": "float64"})
 
     return F.pandas_udf(run, "lang_pred string, score double").asNondeterministic()(text)
 
@@ -237,7 +286,11 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows whose language is told with a share of ``least`` or more; all columns of ``docs``."""
+    """The rows whose language is told with a share of ``least`` or more; all columns of ``docs``.
+
+    Texts that are NULL or have no letter go; repeated rows are judged each; without any language to learn from all go.  A tie
+    between two languages is a share of a half, which stays by default.
+    """
     model = train(_labelled(docs, key, text, lang).where(~F.col("held_out")))
     rows = docs.select(F.struct("*").alias("row"), predicted(F.col(text), model, docs.sparkSession).alias("of"))
     return rows.where((F.col("of.lang_pred") != UNKNOWN) & (F.col("of.score") >= least)).select("row.*")

@@ -158,14 +158,18 @@ def links_within(prints: DataFrame, radius: int, bucket: int = BUCKET) -> DataFr
     return links
 
 
+def rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """Distinct fingerprints with the root of their component, itself a fingerprint, in a column ``root``."""
+    roots = staged(components(links_within(nodes, radius)), "roots").withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def classes(prints: DataFrame, radius: int) -> DataFrame:
     """From (doc_id, fp) to (fp, component_id): the least id among all rows reachable by links."""
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = staged(components(links_within(nodes, radius)), "roots").withColumnRenamed("node", "fp")
-    linked = nodes.join(roots, "fp")
+    linked = staged(rooted(nodes, radius), "rooted")
     of_root = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(of_root, "root").select("fp", "component_id")
-    return nodes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    return linked.join(of_root, "root").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,11 +185,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, key: str
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component, one of them if the row repeats."""
-    marked = docs.select(F.struct("*").alias("row"), fingerprints(F.col(text), shingle).alias("fp"))
-    marked = staged(marked.select(F.col(f"row.`{key}`").alias("doc_id"), "fp", "row"), "marked")
-    prints = marked.select("doc_id", "fp")
-    named = prints.join(classes(prints, radius), "fp")
-    chosen = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
-    same = marked["doc_id"].eqNullSafe(chosen["doc_id"]) & (marked["fp"] == chosen["fp"])
-    return marked.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "fp"]).select("row.*")
+    """One row of ``docs`` for each component, that with the least id; all columns of ``docs``.
+
+    Among rows of the same id, and in a component without ids, any one row stays.  NULL and blank texts all are near
+    copies of each other.  The rows are written once with a number each; which ones stay is found on a narrow table, and one
+    semi-join on the number picks them.  An empty table gives no rows.
+    """
+    marked = docs.select(F.struct("*").alias("row"), fingerprints(F.col(text), shingle).alias("fp"), F.monotonically_increasing_id().alias("number"))
+    marked = staged(marked, "marked")
+    id_ = F.col(f"row.`{key}`")
+    first = F.min(F.struct(id_.isNull().alias("idless"), id_.alias("id"), "number")).alias("first")
+    nodes = staged(marked.groupBy("fp").agg(first), "nodes")
+    chosen = rooted(nodes, radius).groupBy("root").agg(F.min("first").alias("first")).select("first.number")
+    return marked.join(staged(chosen, "chosen"), "number", "left_semi").select("row.*")
