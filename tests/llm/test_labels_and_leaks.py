@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from turnmill.llm import cotraining, decontaminate, toxicity
@@ -67,10 +68,55 @@ def test_views_teach_each_other():
     views = [one(y), one(np.full(len(y), 5))]  # the labelled rows show the second view one feature only
     pool = [one(pool_y), one(2 + pool_y)]
     model = cotraining.Model(np.zeros((7, 9)), [None, None], [np.array([1.0, 0.0])] * 2, np.zeros(3))
-    cotraining.cotrain(views, y, pool, model, settings)
+    cotraining.cotrain(views, y, lambda teachers, students: cotraining.examples(pool, teachers, students, settings), model, settings)
     assert model.weights[1][3] > 0 > model.weights[1][2]
 
 
+def test_gradients_of_all_rows_by_brute_force(spark, tables):
+    settings = cotraining.Settings(buckets=512, confident=0.55)
+    own = cotraining._own(tables("documents"), "doc_id", "text", "source", "lang", "n_chars")
+    edges = np.tile(np.linspace(0.1, 5, settings.bins - 1), (len(cotraining.LAYOUT), 1))
+    random_ = np.random.default_rng(4)
+    teachers, students = ([random_.normal(0, 1, s + 1) for s in settings.sizes] for _ in range(2))
+    views = cotraining.with_views(own, edges, settings).persist()
+    want = [[[0, np.zeros(s + 1)], [0, np.zeros(s + 1)]] for s in settings.sizes]
+    limit, sums = np.log(0.55 / 0.45), 0
+    for row in views.collect():
+        pairs = [
+            (np.frombuffer(row["content_places"], "<u4"), np.frombuffer(row["content_values"], "<f2").astype(float)),
+            (np.frombuffer(row["metadata_places"], "<u4"), np.ones(len(row["metadata_places"]) // 4)),
+        ]
+        for i in (0, 1):
+            (at, x), (other, z) = pairs[i], pairs[1 - i]
+            odds = (teachers[1 - i][:-1][other] * z).sum() + teachers[1 - i][-1]
+            for label in (0, 1):
+                if (2 * label - 1) * odds >= limit:
+                    error = 1 / (1 + np.exp(-((students[i][:-1][at] * x).sum() + students[i][-1]))) - label
+                    want[i][label][0] += 1
+                    np.add.at(want[i][label][1], at, error * x)
+                    want[i][label][1][-1] += error
+                    sums += 1
+    assert sums > 500
+    for parts in (1, 7):
+        got = cotraining.summed_examples(views.repartition(parts), teachers, students, settings)
+        for i in (0, 1):
+            for label in (0, 1):
+                assert got[i][label][0] == want[i][label][0] and np.allclose(got[i][label][1], want[i][label][1])
+    views.unpersist()
+
+
+def test_all_unlabelled_rows_take_part(spark, tables, monkeypatch):
+    """Long texts too; and labels of ids that aren't there, or of texts too long, don't use up the sample."""
+    docs = tables("documents").selectExpr("doc_id", "text", "source", "lang", "n_chars")
+    seen, whole = [], cotraining.summed_examples
+    monkeypatch.setattr(cotraining, "summed_examples", lambda views, *rest: seen.append(views.count()) or whole(views, *rest))
+    labels = tables("labels").select("doc_id", "quality")
+    absent = spark.range(10**6, 10**6 + 5000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    settings = cotraining.Settings(sample=40, rounds=1, passes=1)
+    cotraining.classify(docs, labels.union(absent.select(*(F.col(c).cast(t) for c, t in labels.dtypes))), settings).collect()
+    assert seen == [docs.count() - 80]
+
+
 def common_subsequence(a, b):
     table = [0] * (len(b) + 1)
     for x in a:
@@ -141,6 +187,10 @@ def test_leaks_in_awkward_rows(spark, awkward, nothing):
     assert decontaminate.find_leaks(awkward, items.limit(0)).collect() == []
     left = decontaminate.without_leaks(awkward, items)
     assert left.columns == awkward.columns and left.count() == awkward.count() - 3
+    rows = [(None, "the same line of words here."), (None, "clean words without a leak"), (6, "the same line of words here."), (6, "other clean words"), (6, None)]
+    own = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS number", "2 AS row")
+    left = decontaminate.without_leaks(own, items)
+    assert sorted(map(str, left.select("text").toPandas()["text"])) == ["None", "clean words without a leak", "other clean words"]
 
 
 def test_pipeline(spark, sf_dir, tables):
@@ -162,3 +212,5 @@ def test_pipeline_on_awkward_rows(spark, awkward, nothing, sf_dir):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             kept = stage(spark, docs, sf_dir)
             assert kept.columns == docs.columns and kept.count() <= docs.count()
+        coded = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+        assert len(coded) == docs.count() and sorted(r["n_tokens"] for r in coded)[:3] == ([0, 0, 1] if coded else [])

@@ -136,7 +136,11 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules(), key: str = "d
 
 
 def keep_good(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
-    """The documents that pass, without their failed lines; all columns of ``docs``."""
+    """The documents that pass, without their failed lines; all columns of ``docs``.
+
+    NULL, empty and blank texts have too few words and go.  Repeated rows and NULL ids are judged like any others; columns
+    of the same name as a measure are kept as they are.
+    """
     judged = assess(docs, rules, text).where("kept")
     mine = [F.col("cleaned").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return judged.select(*mine)
