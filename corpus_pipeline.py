@@ -1,4 +1,8 @@
-"""Corpus pipeline: five stages, each a table of documents in and out, the last one token digests out."""
+"""Corpus pipeline: five stages, each a table of documents in and out, the last one token digests out.
+
+All stages take NULLs in any column, empty and very long texts, repeated rows, empty tables, and extra columns of any
+name, which they keep (the last one returns its own columns only).
+"""
 
 from __future__ import annotations
 
@@ -14,13 +18,8 @@ from turnmill.llm.quality_rules import keep_good
 from turnmill.llm.simhash import one_of_each
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Fewer rows at a time between Spark and Python: long documents then need little memory there."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out the lines that fail; documents that fail or lose too much go."""
+    """Takes out the lines that fail; documents that fail or lose too much go, those without words among them."""
     kept = keep_good(docs)
     if "n_chars" not in kept.columns:
         return kept
@@ -28,29 +27,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told go."""
-    small_batches(spark)
+    """Documents whose language can't be told go; ties between languages stay."""
     return keep_identified(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    small_batches(spark)
+    """One document of each group of near copies stays: that with the least id, any one where none has an id."""
     return one_of_each(docs, shingle=3, radius=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    small_batches(spark)
+    """Documents that hold a benchmark item go, each judged by its own text whatever its id."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token digests of what is left."""
-    small_batches(spark)
+    """Token digests of what is left, a row per row; a NULL text is empty."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    # The stages share the executors' worker processes, so this one leaves nothing in them.
-    return digests(round_trip(docs, Ranks(path, public_tokenizers.PATTERN, memory=0.2, shared=False)))
+    return digests(round_trip(docs, Ranks(path, public_tokenizers.PATTERN)))
 
 
 STAGES = [
