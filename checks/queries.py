@@ -128,12 +128,12 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_pairs_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs across measured stretches of a huge conversation with gaps and repeated numbers."""
-    return tm.turns_to_pairs(frames.sparse_turns(spark, sf_dir), block=500)
+    return tm.turns_to_pairs(frames.sparse_turns(spark, sf_dir), block=40)
 
 
 def turn_messages_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same conversations as samples."""
-    return _one_per_message(tm.turns_to_messages(frames.sparse_turns(spark, sf_dir), block=500), "conv_id")
+    return _one_per_message(tm.turns_to_messages(frames.sparse_turns(spark, sf_dir), block=40), "conv_id")
 
 
 def keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,8 +54,16 @@ def test_split_reads_only_the_key_for_the_cut(spark, sf_dir):
 
 def test_pairs_order_only_the_ends_of_stretches_per_conversation(spark, sf_dir):
     """The one window over whole conversations reads an aggregate, a row per stretch."""
-    text = plan(QUERIES["turn_pairs"](spark, sf_dir))
+    text = plan(QUERIES["turn_pairs_sparse"](spark, sf_dir))
     whole = [line for line in text.splitlines() if "Window [" in line and "_first" in line]
     inside = [line for line in text.splitlines() if "Window [" in line and "_first" not in line]
-    assert whole and inside and all("_block" in line.split("windowspecdefinition")[1] for line in inside)
+    assert whole and inside and all("_stretch" in line.split("windowspecdefinition")[1] for line in inside)
 
+
+
+def test_numbering_moves_no_wide_rows(spark, sf_dir):
+    """Texts are neither range-partitioned nor written to be numbered."""
+    text = plan(QUERIES["eval_prompt_file"](spark, sf_dir))
+    assert "rangepartitioning" not in text and "Exchange hashpartitioning" not in text.split("BroadcastExchange")[0]
+    numbered = plan(tm.number_rows(frames.table(spark, sf_dir, "conversations"), "conv_id", "turn"))
+    assert "BroadcastHashJoin" in numbered and "rangepartitioning" not in numbered and "text" not in numbered.split("numbered")[-1]

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from turnmill.operators.split import TRAIN, VALIDATION
+from turnmill.storage import hadoop_path
 
 #: The file under the output folder that names the version to read.
 MANIFEST = "_manifest.json"
@@ -27,12 +28,6 @@ class Published:
     rows: dict[str, int]
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """The path and its file system, as Hadoop objects."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def qualified(spark: SparkSession, path: str, encoded: bool = False) -> str:
     """The one name of a path: scheme, authority and working folder filled in, dots and a last slash taken out.
 
@@ -40,13 +35,13 @@ def qualified(spark: SparkSession, path: str, encoded: bool = False) -> str:
     """
     if encoded:
         path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(path)).toString()
-    place, system = _hadoop(spark, path)
+    place, system = hadoop_path(spark, path)
     uri = system.makeQualified(place).toUri().normalize()
     return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}".rstrip("/")
 
 
 def _read(spark: SparkSession, out: str) -> dict | None:
-    place, system = _hadoop(spark, f"{out}/{MANIFEST}")
+    place, system = hadoop_path(spark, f"{out}/{MANIFEST}")
     if not system.exists(place):
         return None
     stream = system.open(place)
@@ -57,7 +52,7 @@ def _read(spark: SparkSession, out: str) -> dict | None:
 
 
 def _write(spark: SparkSession, out: str, manifest: dict) -> None:
-    new, system = _hadoop(spark, f"{out}/_manifest-{uuid.uuid4().hex}")
+    new, system = hadoop_path(spark, f"{out}/_manifest-{uuid.uuid4().hex}")
     stream = system.create(new, True)
     try:
         stream.write(bytearray(json.dumps(manifest).encode()))
@@ -68,7 +63,7 @@ def _write(spark: SparkSession, out: str, manifest: dict) -> None:
     how = gateway.new_array(rename, 1)
     how[0] = rename.OVERWRITE
     files = hadoop.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
-    files.rename(system.makeQualified(new), system.makeQualified(_hadoop(spark, f"{out}/{MANIFEST}")[0]), how)
+    files.rename(system.makeQualified(new), system.makeQualified(hadoop_path(spark, f"{out}/{MANIFEST}")[0]), how)
 
 
 def stage_splits(df: DataFrame, out: str, splits: Sequence[str] = (TRAIN, VALIDATION)) -> Published:
@@ -88,7 +83,7 @@ def stage_splits(df: DataFrame, out: str, splits: Sequence[str] = (TRAIN, VALIDA
     rows = {name: seen.get[name] for name in splits}
     for name in splits:
         if not rows[name]:
-            place, system = _hadoop(spark, paths[name])
+            place, system = hadoop_path(spark, paths[name])
             system.mkdirs(place)
     return Published(version, paths, rows)
 
@@ -102,7 +97,7 @@ def publish(spark: SparkSession, out: str, staged: Published) -> None:
     before = _read(spark, out) or {}
     _write(spark, out, {"version": staged.version, "previous": before.get("version"), "paths": staged.paths, "rows": staged.rows})
     if before.get("previous"):
-        place, system = _hadoop(spark, before["previous"])
+        place, system = hadoop_path(spark, before["previous"])
         system.delete(place, True)
 
 

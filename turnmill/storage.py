@@ -43,3 +43,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def small(df: DataFrame) -> DataFrame:
     """Mark a written table of narrow rows for broadcast, if its count says that it is small."""
     return F.broadcast(df) if df.count() <= SMALL else df
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, as Hadoop objects."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -15,10 +15,14 @@ from turnmill.operators.adapt import pairs_to_messages
 from turnmill.operators.filters import filter_valid
 from turnmill.operators.redact import redact_messages
 from turnmill.operators.split import split_hash
+from turnmill.storage import hadoop_path
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, source: str = "parquet", files: int | None = None) -> DataFrame:
-    """A stream of the files under ``path``, ``files`` of them at a time at most."""
+    """A stream of the files under ``path``, or of one file; ``files`` of them at a time at most."""
+    place, system = hadoop_path(spark, path)
+    if system.isFile(place):
+        path = f"{path[:-1]}[{path[-1]}]"  # a pattern that only this file matches: the source wants a folder or a pattern
     reader = spark.readStream.schema(schema).format(source)
     return (reader.option("maxFilesPerTrigger", files) if files else reader).load(path)
 
