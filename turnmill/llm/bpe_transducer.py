@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 
 from turnmill.llm.fill_in_middle import blocks
 
-#: Bounds on what a worker remembers; beyond them it starts anew.
-MAX_TRANSITIONS = 300_000
-MAX_STATES = 200_000
-MAX_PAIRS = 100_000
+#: Bounds on what a worker remembers; transitions beyond them are made, but not kept.
+MAX_TRANSITIONS = 250_000
+MAX_STATES = 150_000
+MAX_PAIRS = 150_000
 
-#: Bytes, by estimate, of the texts whose ids a worker remembers: pre-tokens, and stretches between blanks.
-PIECE_BYTES = 16 << 20
-STRETCH_BYTES = 32 << 20
+#: Bytes, by estimate, of the texts whose ids a worker remembers: those after a blank, and other pre-tokens.
+STRETCH_BYTES = 192 << 20
+PIECE_BYTES = 12 << 20
 
 #: What an entry takes besides its text and its ids.
 ENTRY_BYTES = 220
@@ -103,7 +103,7 @@ class _Steps(dict):
         super().__init__()
         self.make = make
 
-    def __missing__(self, step: int) -> tuple[int, tuple[int, ...]]:
+    def __missing__(self, step: int) -> tuple[int, tuple[int, ...]] | None:
         return self.make(step)
 
 
@@ -195,10 +195,10 @@ class Transducer:
             known = self.open[key] = any(self._never_joined(last, t) for t in tokens)
         return known
 
-    def _make(self, step: int) -> tuple[int, tuple[int, ...]]:
-        """Determinise one transition."""
-        last, live = self.states[step >> 8]
-        byte, trie, ends, below, pairs = step & 255, self.trie, self.ends, self.below, self.pairs
+    def _advance(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """The state after one more byte, and the tokens emitted."""
+        last, live = state
+        trie, ends, below, pairs = self.trie, self.ends, self.below, self.pairs
         kept, whole = [], None
         for node, pending in live:
             node = trie.get(node << 8 | byte)
@@ -219,29 +219,45 @@ class Transducer:
                 agreed = len(pending)
             while whole[:agreed] != pending[:agreed]:
                 agreed -= 1
-        if agreed:
-            last = whole[agreed - 1]
-            kept = [(node, pending[agreed:]) for node, pending in kept]
+        if not agreed:
+            kept.append((self.ROOT, whole))
+            return (last, tuple(kept)), ()
+        kept = [(node, pending[agreed:]) for node, pending in kept]
         kept.append((self.ROOT, whole[agreed:]))
-        state = (last, tuple(kept))
+        return (whole[agreed - 1], tuple(kept)), whole[:agreed]
+
+    def _make(self, step: int) -> tuple[int, tuple[int, ...]] | None:
+        """Determinise one transition; None when there is no more room."""
+        if len(self.steps) >= MAX_TRANSITIONS or len(self.states) >= MAX_STATES:
+            return None
+        state, emitted = self._advance(self.states[step >> 8], step & 255)
         number = self.number.get(state)
         if number is None:
             number = self.number[state] = len(self.states)
             self.states.append(state)
-        made = self.steps[step] = (number, whole[:agreed])
+        made = self.steps[step] = (number, emitted)
         return made
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.steps) > MAX_TRANSITIONS or len(self.states) > MAX_STATES:
-            self.restart()
         state, out, steps = 0, [], self.steps
-        for byte in piece:
-            state, emitted = steps[state << 8 | byte]
+        for at, byte in enumerate(piece):
+            found = steps[state << 8 | byte]
+            if found is None:
+                return self._go_on(self.states[state], piece[at:], out)
+            state, emitted = found
             if emitted:
                 out += emitted
         out += self.states[state][1][-1][1]
         return out
 
+    def _go_on(self, state: tuple, rest: bytes, out: list[int]) -> list[int]:
+        """The same from a state on, without keeping what is made."""
+        for byte in rest:
+            state, emitted = self._advance(state, byte)
+            out += emitted
+        out += state[1][-1][1]
+        return out
+
 
 class _Memo(dict):
     """Ids per text, as little-endian integers of four bytes, remembered within a number of bytes.
@@ -291,13 +307,19 @@ def encoder(source: Ranks):
         rank = unreached.get(raw)
         return array("i", transducer.encode(raw) if rank is None else [rank]).tobytes()
 
+    # Keyed by what follows the blank; a stretch that is one pre-token is an entry like any other pre-token after a blank.
+    stretches = _Memo(lambda stretch: after_blank(stretch), STRETCH_BYTES)
     pieces = _Memo(piece_ids, PIECE_BYTES)
 
-    def plain(text: str) -> bytes:
-        found = pattern.findall(text) if len(text) < LONG else (m.group() for m in pattern.finditer(text))
-        return b"".join(map(pieces.__getitem__, found))
+    def after_blank(stretch: str) -> bytes:
+        found = pattern.findall(" " + stretch)
+        return piece_ids(found[0]) if len(found) == 1 else joined(found)
+
+    def joined(found: Iterable[str]) -> bytes:
+        return b"".join([stretches[p[1:]] if p[0] == " " and len(p) > 1 else pieces[p] for p in found])
 
-    stretches = _Memo(lambda stretch: plain(" " + stretch), STRETCH_BYTES)
+    def plain(text: str) -> bytes:
+        return joined(pattern.findall(text) if len(text) < LONG else (m.group() for m in pattern.finditer(text)))
 
     def part(text: str) -> bytes:
         side = "  " in text or any(w + " " in text or " " + w in text for w in OTHER_SPACE if w in text)
