@@ -179,6 +179,53 @@ def test_short_and_end_edited_items_among_benchmark_words(spark):
     assert len(got & planted) >= 0.97 * len(planted) and got <= planted
 
 
+def test_recall_against_the_longest_common_subsequence(spark):
+    """A full block of items of 5 to 60 words, one in each of 400 documents, edited in five ways; truth by brute force."""
+    choose = random.Random(8)
+    words = [f"w{i}" for i in range(6000)]
+    items = [[choose.choice(words) for _ in range(choose.choice((5, 7, 9, 12, 14, 30, 45, 60)))] for _ in range(decontaminate.BLOCK_ITEMS)]
+    rows, planted = [], set()
+    for i in range(400):
+        own = [choose.choice(words) for _ in range(choose.randrange(80, 250))]
+        at, item = choose.randrange(len(own)), choose.randrange(len(items))
+        copy, n = list(items[item]), len(items[item])
+        new = lambda k: [choose.choice(words) for _ in range(k)]
+        if i % 5 == 1:
+            copy[n - 35 * n // 100 :] = new(35 * n // 100)
+        elif i % 5 == 2:
+            copy[: 35 * n // 100] = new(35 * n // 100)
+        elif i % 5 in (3, 4):
+            for k in choose.sample(range(n), n * (25, 40)[i % 5 - 3] // 100):
+                copy[k] = choose.choice(words)
+        own[at:at] = copy
+        rows.append((i, " ".join(own)))
+        place = own[max(0, at - 2) : at + n + max(2, n // 4)]
+        share = common_subsequence(items[item], place) / n
+        answer = items[item][-min(8, -(-n // 2)) :]
+        if share >= 0.6 or share >= 0.5 and common_subsequence(answer, place) / len(answer) >= 0.75:
+            planted.add((i, item))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert len(planted) > 350 and len(got & planted) >= 0.97 * len(planted)
+
+
+def test_sums_of_matrices_over_many_tasks(spark):
+    random_ = np.random.default_rng(1)
+    whole = random_.normal(size=(300, 150, 4)).astype(np.float32)
+    rows = [(t, a, whole[t, a : a + 100].tobytes()) for t in range(300) for a in (0, 100)]
+    parts = spark.createDataFrame(rows, "task long, first long, rows binary")
+    assert np.allclose(decontaminate._summed(parts, (150, 4)), whole.sum(axis=0), atol=1e-3)
+
+
+def test_numbers_of_words_are_those_of_the_pattern(spark):
+    block = decontaminate.build_block([(1, "It's a naïve_word, x\u00a0y İstanbul ½ ß", None)], decontaminate.Rules())
+    texts = ["It's a NAÏVE_word,x y--It's\u3000½ İSTANBUL İstanbul ß SS a\x1ca", "", None, "a" * 100 + " x"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [np.frombuffer(r[0], decontaminate.kind_of(block)).tolist() for r in df.select(decontaminate.encoded(F.col("text"), block, spark)).collect()]
+    assert got == [[block.words.get(w, 0) for w in decontaminate.words_of(t)] for t in texts]
+
+
 def test_leaks_in_awkward_rows(spark, awkward, nothing):
     items = spark.createDataFrame([(1, "the same line of words here."), (2, None), (3, ""), (4, "!!")], "item_id long, text string")
     got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(awkward, items).collect())
