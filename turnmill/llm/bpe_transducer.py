@@ -33,7 +33,7 @@ MAX_STATES = 150_000
 MAX_PAIRS = 150_000
 
 #: Bytes, by estimate, of the texts whose ids a worker remembers: those after a blank, and other pre-tokens.
-STRETCH_BYTES = 192 << 20
+STRETCH_BYTES = 256 << 20
 PIECE_BYTES = 12 << 20
 
 #: What an entry takes besides its text and its ids.
