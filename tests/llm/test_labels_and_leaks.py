@@ -218,6 +218,57 @@ def test_sums_of_matrices_over_many_tasks(spark):
     assert np.allclose(decontaminate._summed(parts, (150, 4)), whole.sum(axis=0), atol=1e-3)
 
 
+def test_the_latent_space_is_fitted_to_all_passages(spark, monkeypatch):
+    """The summed image is that of every passage, by brute force, however many there are."""
+    choose, images, whole = random.Random(9), [], decontaminate._summed
+    monkeypatch.setattr(decontaminate, "FITTED_PASSAGES", 20, raising=False)
+    monkeypatch.setattr(decontaminate, "_summed", lambda parts, shape: images.append(whole(parts, shape)) or images[-1])
+    words = [f"w{i}" for i in range(900)]
+    texts = [[choose.choice(words[: choose.choice((20, 900))]) for _ in range(choose.randrange(300))] for _ in range(60)]
+    items = [(i, " ".join(choose.sample(words[:600], 30)), None) for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string").repartition(3)
+    decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string, answer string")).collect()
+
+    rules = decontaminate.Rules()
+    block = decontaminate.build_block(items, rules)
+    n = len(block.words) + 1
+    cut = [x[a : a + decontaminate.WINDOW] for x in texts for a in range(0, len(x), decontaminate.WINDOW)]
+    tf = np.zeros((len(cut), n))
+    for i, passage in enumerate(cut):
+        for w in passage:
+            tf[i, block.words.get(w, 0)] += 1
+    own = np.stack([np.bincount(x, minlength=n) for _, x, _ in block.passages])
+    weight = np.log((1 + len(cut) + len(own)) / (1 + (tf > 0).sum(axis=0) + (own > 0).sum(axis=0)))
+    weight[0] = 0
+    basis = np.random.default_rng(7).standard_normal((n, min(rules.rank, n - 1) + rules.oversample)) * weight[:, None]
+    want = tf.T @ (tf @ basis)
+    want[0] = 0
+    assert n > decontaminate.FREQUENT and np.allclose(images[0], want, atol=1e-3 * np.abs(want).max())
+
+
+def test_candidates_by_brute_force():
+    random_ = np.random.default_rng(5)
+    for _ in range(50):
+        pairs = sorted((int(g), int(p)) for g, p in random_.integers(0, [4, 60], (random_.integers(0, 80), 2)))
+        seen, want = {}, []
+        for i, (g, p) in enumerate(pairs):
+            if p - seen.get(g, -9) >= 9:
+                seen[g] = p
+                want.append(i)
+        group, place = np.array(pairs, np.int64).reshape(-1, 2).T
+        assert decontaminate.spaced(group, place, 9) == want
+    numbers = random_.integers(0, 40, 500)
+    items = [random_.integers(1, 40, n) for n in (3, 9, 20)]
+    members = np.stack([decontaminate.membership(x, 40) for x in items])
+    low = random_.integers(0, 490, 200)
+    high = np.minimum(500, low + random_.integers(1, 90, 200))
+    length, place = random_.integers(1, 40, 200), random_.integers(0, 3, 200)
+    got = decontaminate.most_words(numbers, low, high, length, members, place)
+    for a, b, n, p, most in zip(low, high, length, place, got):
+        own = np.isin(numbers[a:b], items[p])
+        assert most == max(own[i : i + n].sum() for i in range(max(1, b - a - n + 1)))
+
+
 def test_numbers_of_words_are_those_of_the_pattern(spark):
     block = decontaminate.build_block([(1, "It's a naïve_word, x\u00a0y İstanbul ½ ß", None)], decontaminate.Rules())
     texts = ["It's a NAÏVE_word,x y--It's\u3000½ İSTANBUL İstanbul ß SS a\x1ca", "", None, "a" * 100 + " x"]

@@ -44,8 +44,11 @@ REMEMBERED = 200_000
 #: Words of texts that are handled at a time in array passes: their sums stay in a processor's cache.
 CHUNK = 1 << 15
 
-#: Passages of the documents that the latent space is fitted to, about.  All are searched.
-FITTED_PASSAGES = 400_000
+#: Words whose part of a matrix product is dense; that of the others is summed row by row.
+FREQUENT = 256
+
+#: Candidates whose words are counted at a time.
+COUNTED = 4096
 
 #: Rows of a slice in which the parts of a matrix are added up, and parts that one task adds.
 SLICE = 128
@@ -109,10 +112,15 @@ class _Numbered(dict):
 
     def __init__(self, words: dict[str, int], kind: str):
         super().__init__()
-        self.words, self.kind = words, kind
+        size = np.dtype(kind).itemsize
+        self.words = {w: i.to_bytes(size, "little") for w, i in words.items()}
+        self.other = bytes(size)
 
     def __missing__(self, stretch: str) -> bytes:
-        numbers = np.array([self.words.get(w, 0) for w in WORD.findall(stretch)], self.kind).tobytes()
+        if stretch.isalnum():  # one word
+            numbers = self.words.get(stretch, self.other)
+        else:
+            numbers = b"".join([self.words.get(w, self.other) for w in WORD.findall(stretch)])
         if len(self) > REMEMBERED:
             self.clear()
         if len(stretch) < 64:
@@ -183,22 +191,25 @@ def _frequencies(words: DataFrame, block: Block) -> tuple[np.ndarray, int]:
     return total, int(total[0]) + len(block.passages)
 
 
-def _sums(rows: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
-    """Sum of rows by ascending place, for places 0 to n - 1."""
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    if len(places):
-        starts = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
-        out[places[starts]] = np.add.reduceat(rows, starts, axis=0)
-    return out
-
+def _product(numbers: np.ndarray, basis: np.ndarray, frequent: np.ndarray, place: np.ndarray, out: np.ndarray) -> None:
+    """Add A'(A basis) to ``out``, A the TF matrix of the passages in ``numbers``.
 
-def _product(numbers: np.ndarray, basis: np.ndarray, live: np.ndarray, out: np.ndarray) -> None:
-    """Add A'(A basis) to ``out``, A the TF matrix of the passages in ``numbers``, ``live`` words only."""
-    at = np.flatnonzero(live[numbers])
-    word, passage = numbers[at].astype(np.int64), at // WINDOW
-    image = _sums(basis[word], passage, len(numbers) // WINDOW)
+    Words whose row of ``basis`` is zero count as absent.  ``place``: of each word among the ``frequent`` ones, -1 for the other
+    words, -2 for absent ones.
+    """
+    words = numbers.reshape(-1, WINDOW)
+    image = basis[words[:, 0]]
+    for i in range(1, WINDOW):
+        image += basis[words[:, i]]
+    of = place[numbers]
+    at = np.flatnonzero(of >= 0)
+    size = len(frequent)
+    tf = np.bincount(at // WINDOW * size + of[at], minlength=len(words) * size).reshape(len(words), size)
+    out[frequent] += tf.T.astype(np.float32) @ image
+    at = np.flatnonzero(of == -1)
+    word = numbers[at]
     order = np.argsort(word, kind="stable")
-    word, rows = word[order], image[passage[order]]
+    word, rows = word[order], image[at[order] // WINDOW]
     if len(word):
         starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
         out[word[starts]] += np.add.reduceat(rows, starts, axis=0)
@@ -227,8 +238,7 @@ def _summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
 def _latent_space(words: DataFrame, block: Block, rules: Rules) -> None:
     """Randomised SVD in one pass: Y = A'A W for a random W, summed over all tasks, then Nystrom's formula.
 
-    Document frequencies are those of all passages; A holds the passages of documents chosen by a hash, FITTED_PASSAGES about.
-    The benchmark's passages weigh as much as the documents' together, so that the space holds them too.
+    Document frequencies are those of all passages, and A holds all of them.  The benchmark's passages weigh as much as the documents' together, so that the space holds them too.
     """
     spark, kind, n = words.sparkSession, kind_of(block), len(block.words) + 1
     counts, passages = _frequencies(words, block)
@@ -238,23 +248,23 @@ def _latent_space(words: DataFrame, block: Block, rules: Rules) -> None:
     random = np.random.default_rng(7).standard_normal((n, min(rank + rules.oversample, n))).astype(np.float32)
     shared = spark.sparkContext.broadcast(random * weight[:, None])
     columns = random.shape[1]
-    share = min(1.0, FITTED_PASSAGES / max(passages, 1))
-    place = F.pmod(F.xxhash64("row", F.lit(3)), F.lit(1 << 20))
+    place = np.where(shared.value.any(axis=1), -1, -2)
+    frequent = np.argsort(np.where(place == -1, -counts, 1), kind="stable")[: min(FREQUENT, int((place == -1).sum()))]
+    place[frequent] = np.arange(len(frequent))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         basis = shared.value
-        live = basis.any(axis=1)
         out = np.zeros(basis.shape, np.float64)
         task = 0
         for batch in batches:
             task = int(batch["task"].iloc[0]) if len(batch) else task
             for _, numbers, _ in _chunks(iter([batch]), kind, WINDOW):
-                _product(numbers, basis, live, out)
+                _product(numbers, basis, frequent, place, out)
         firsts = [a for a in range(0, n, SLICE) if out[a : a + SLICE].any()]
         yield pd.DataFrame({"task": [task] * len(firsts), "first": firsts, "rows": [out[a : a + SLICE].astype(np.float32).tobytes() for a in firsts]})
 
-    chosen = words.where(place < int(share * (1 << 20))).withColumn("task", F.spark_partition_id())
-    image = _summed(chosen.mapInPandas(run, "task long, first long, rows binary"), (n, columns))
+    numbered = words.withColumn("task", F.spark_partition_id())
+    image = _summed(numbered.mapInPandas(run, "task long, first long, rows binary"), (n, columns))
     own = np.zeros_like(image)
     for _, numbers, _ in block.passages:
         tf = np.bincount(numbers, minlength=n).astype(np.float32)
@@ -303,21 +313,40 @@ def membership(words: np.ndarray, n: int) -> np.ndarray:
     return bits
 
 
-def _verdict(numbers: np.ndarray, low: int, high: int, place: int, known: dict[int, int], own: np.ndarray, block: Block, rules: Rules) -> tuple[float, float] | None:
-    """Shares of an item's and its answer's words between two places of a document, if they suffice.
+def spaced(group: np.ndarray, place: np.ndarray, least: int) -> list[int]:
+    """Of ascending places per ascending group: the first of each group, and always the next that is ``least`` behind the last."""
+    if not len(place):
+        return []
+    key = np.cumsum(np.concatenate(([0], group[1:] != group[:-1]))) * (int(place.max()) - int(place.min()) + least + 1) + (place - place.min())
+    follower = np.searchsorted(key, key + least).tolist()
+    kept, at = [], 0
+    while at < len(follower):
+        kept.append(at)
+        at = follower[at]
+    return kept
+
 
-    Slides a span a quarter longer than the item over them.  ``known``: the places of the item's words; ``own``: their membership.
+def most_words(numbers: np.ndarray, low: np.ndarray, high: np.ndarray, length: np.ndarray, members: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The most words of an item that a span of ``length`` has, between two places each: low < high."""
+    count = high - low
+    ends = np.cumsum(count)
+    begins = ends - count
+    near = numbers[np.repeat(low - begins, count) + np.arange(ends[-1])]
+    own = members[np.repeat(place, count), near >> 3] >> (near & 7).astype(np.uint8) & 1
+    total = np.concatenate(([0], np.cumsum(own, dtype=np.int32)))
+    last = np.arange(1, ends[-1] + 1)
+    return np.maximum.reduceat(total[1:] - total[np.maximum(last - np.repeat(length, count), np.repeat(begins, count))], begins)
+
+
+def _verdict(numbers: np.ndarray, low: int, high: int, place: int, known: dict[int, int], block: Block, rules: Rules) -> tuple[float, float] | None:
+    """Shares of an item's and its answer's words between two places, if they suffice.
+
+    Slides a span a quarter longer than the item over them.  ``known``: the places of the item's words.
     """
     item, answer = block.items[place], block.answers[place]
     size, length = len(item), len(item) + max(2, len(item) // 4)
-    low, high = max(0, low), min(len(numbers), high)
     least = rules.paraphrase * size
-    # No span has a longer common subsequence than it has words of the item.
-    near = numbers[low:high]
-    count = np.cumsum(own[near >> 3] >> (near & 7) & 1, dtype=np.int32)
-    if not len(count) or max(count[min(length, len(count)) - 1], (count[length:] - count[:-length]).max(initial=0)) < least:
-        return None
-    words = near.tolist()
+    words = numbers[low:high].tolist()
     if _subsequence(known, size, words) < least:
         return None
     step, best = max(1, size // 8), (0.0, 0.0)
@@ -353,7 +382,10 @@ def _search(batches: Iterator[pd.DataFrame], block: Block, rules: Rules) -> Iter
     asked = {k: np.flatnonzero(spans == k) for k in SPANS}
     queries = {k: block.queries[of].T.copy() for k, of in asked.items()}
     known = [places_of(item) for item in block.items]
-    members = [membership(item, len(block.words) + 1) for item in block.items]
+    members = np.stack([membership(item, len(block.words) + 1) for item in block.items])
+    sizes = np.array([len(item) for item in block.items])
+    lengths = sizes + np.maximum(2, sizes // 4)
+    of_passage = np.array([(place, first) for place, _, first in block.passages])
     needed = {k for k in SPANS if len(asked[k])}
     for k in sorted(SPANS, reverse=True):
         needed |= set(SPANS[k]) if k in needed else set()
@@ -374,29 +406,40 @@ def _search(batches: Iterator[pd.DataFrame], block: Block, rules: Rules) -> Iter
             stride = max(1, k // 4)
             size = np.sqrt(np.einsum("ij,ij->i", sums[k][::stride], sums[k][::stride]))
             some = np.flatnonzero(size > 1e-6)
-            seen: dict[tuple[int, int], int] = {}
+            spans_close, asks_close, cosines = [], [], []
             for part in np.array_split(some, -(-len(some) // 4096) or 1):
                 product = sums[k][part * stride] @ queries[k]
                 close = product >= rules.cosine * size[part, None]
                 rows_close = np.flatnonzero(close.any(axis=1))  # few
                 at, asks = np.nonzero(close[rows_close])
-                begins = part[rows_close[at]] * stride * GRAIN
-                width = k * GRAIN
-                # The gap between documents is as long as the longest span: its end tells the document.
-                docs = np.searchsorted(starts, begins + width - 1, side="right") - 1
-                for w, q, word, doc in zip(rows_close[at].tolist(), asks.tolist(), begins.tolist(), docs.tolist()):
-                    # What is near a candidate has been looked at with it: the margin is half a span more than this.
-                    if word - seen.get((doc, q), -width) < width:
-                        continue
-                    seen[doc, q] = word
-                    place, words, first = block.passages[asked[k][q]]
-                    own = numbers[starts[doc] : starts[doc + 1]]
-                    begin, item = word - int(starts[doc]) - first, len(block.items[place])
-                    margin, length = width + width // 2, item + max(2, item // 4)
-                    shares = _verdict(own, begin - margin, begin + margin + length, place, known[place], members[place], block, rules)
+                at = rows_close[at]
+                spans_close.append(part[at])
+                asks_close.append(asks)
+                cosines.append(product[at, asks] / size[part[at]])
+            width = k * GRAIN
+            begins, asks, cosine = np.concatenate(spans_close) * stride * GRAIN, np.concatenate(asks_close), np.concatenate(cosines)
+            # The gap between documents is as long as the longest span: its end tells the document.
+            docs = np.searchsorted(starts, begins + width - 1, side="right") - 1
+            order = np.lexsort((begins, asks))
+            # What is near a candidate is looked at with it: the margin is half a span more than this.
+            order = order[spaced(asks[order] * len(starts) + docs[order], begins[order], width)]
+            place, first = of_passage[asked[k][asks[order]]].T
+            margin, doc = width + width // 2, docs[order]
+            middle = begins[order] - first
+            low = np.maximum(starts[doc], middle - margin)
+            high = np.minimum(starts[doc + 1], middle + margin + lengths[place])
+            for some in np.split(np.arange(len(order)), range(COUNTED, len(order), COUNTED)):
+                some = some[low[some] < high[some]]
+                if not len(some):
+                    continue
+                # No span has a longer common subsequence than it has words of the item.
+                most = most_words(numbers, low[some], high[some], lengths[place[some]], members, place[some])
+                for i in some[most >= rules.paraphrase * sizes[place[some]]].tolist():
+                    of_item = int(place[i])
+                    shares = _verdict(numbers, low[i], high[i], of_item, known[of_item], block, rules)
                     if shares is not None:
-                        new = (*shares, float(product[w, q] / size[part[w]]))
-                        found[doc, place] = max(found.get((doc, place), (0.0, 0.0, 0.0)), new)
+                        new, pair = (*shares, float(cosine[order[i]])), (int(doc[i]), of_item)
+                        found[pair] = max(found.get(pair, (0.0, 0.0, 0.0)), new)
         yield pd.DataFrame(
             [(rows[doc], block.ids[place], cosine, share, answer) for (doc, place), (share, answer, cosine) in found.items()],
             columns=["row", "item_id", "cosine", "item_share", "answer_share"],
