@@ -218,8 +218,8 @@ def test_sums_of_matrices_over_many_tasks(spark):
     assert np.allclose(decontaminate._summed(parts, (150, 4)), whole.sum(axis=0), atol=1e-3)
 
 
-def test_the_latent_space_is_fitted_to_all_passages(spark, monkeypatch):
-    """The summed image is that of every passage, by brute force, however many there are."""
+def test_the_latent_space_is_fitted_to_all_passages(spark, monkeypatch, tmp_path):
+    """The summed image is that of every passage, by brute force, however many there are; in the pipeline too."""
     choose, images, whole = random.Random(9), [], decontaminate._summed
     monkeypatch.setattr(decontaminate, "FITTED_PASSAGES", 20, raising=False)
     monkeypatch.setattr(decontaminate, "_summed", lambda parts, shape: images.append(whole(parts, shape)) or images[-1])
@@ -227,7 +227,10 @@ def test_the_latent_space_is_fitted_to_all_passages(spark, monkeypatch):
     texts = [[choose.choice(words[: choose.choice((20, 900))]) for _ in range(choose.randrange(300))] for _ in range(60)]
     items = [(i, " ".join(choose.sample(words[:600], 30)), None) for i in range(40)]
     docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string").repartition(3)
-    decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string, answer string")).collect()
+    benchmark = spark.createDataFrame(items, "item_id long, text string, answer string").coalesce(1)
+    decontaminate.find_leaks(docs, benchmark).collect()
+    benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
+    dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, docs, str(tmp_path)).collect()
 
     rules = decontaminate.Rules()
     block = decontaminate.build_block(items, rules)
@@ -243,7 +246,8 @@ def test_the_latent_space_is_fitted_to_all_passages(spark, monkeypatch):
     basis = np.random.default_rng(7).standard_normal((n, min(rules.rank, n - 1) + rules.oversample)) * weight[:, None]
     want = tf.T @ (tf @ basis)
     want[0] = 0
-    assert n > decontaminate.FREQUENT and np.allclose(images[0], want, atol=1e-3 * np.abs(want).max())
+    assert n > decontaminate.FREQUENT and len(images) == 2
+    assert all(np.allclose(image, want, atol=1e-3 * np.abs(want).max()) for image in images)
 
 
 def test_candidates_by_brute_force():
