@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tests.plantools import main_nodes
 from turnmill.llm import common, components, kneser_ney, language_id, simhash
 
 
@@ -63,6 +64,32 @@ def test_simhash_of_awkward_rows(awkward, nothing):
     assert simhash.near_duplicates(nothing).collect() == [] and simhash.one_of_each(nothing).collect() == []
 
 
+@pytest.mark.parametrize("bitmaps", [common.BITMAPS, 0])
+def test_numbers_are_flagged_whether_bits_are_broadcast_or_not(spark, monkeypatch, bitmaps):
+    monkeypatch.setattr(common, "BITMAPS", bitmaps)
+    rows = spark.range(0, 100_000, numPartitions=3).select("id", F.monotonically_increasing_id().alias("number"))
+    rows = common.staged(rows, "rows")
+    edge = F.col("number").bitwiseAND((1 << 33) - 1).isin(0, 1, 32_767, 32_768, 33_332)
+    numbers = rows.where(edge | (F.col("id") % 7 == 3)).select("number")
+    found = common.flagged(rows, numbers.union(numbers), "flag")
+    assert found.columns == ["id", "number", "flag"] and found.count() == 100_000
+    assert found.where(F.col("flag") != (edge | (F.col("id") % 7 == 3))).count() == 0
+    assert common.flagged(rows, numbers.limit(0), "flag").where("flag IS NULL OR flag").count() == 0
+
+
+def test_rows_that_stay_are_picked_without_a_shuffle_of_texts(spark):
+    docs = spark.createDataFrame([(i, f"text {i // 2} of some") for i in range(200)], "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        kept = simhash.one_of_each(docs)
+        nodes = main_nodes(kept)
+        assert "Exchange" not in nodes and not any("SortMerge" in x for x in nodes)
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 200, 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_one_row_of_each_component_without_ids(spark):
     base = " ".join(f"word{i}" for i in range(400))
     rows = [(None, base + f" w{i % 3}") for i in range(40)] + [(None, "quite another text"), (7, "a third one"), (7, "a third one"), (None, "a third one"), (None, None), (3, " ")]

@@ -38,6 +38,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bitmaps of 32,768 numbers each that are broadcast, 64 MB; rows are joined by a shuffle if there are more.
+BITMAPS = 1 << 14
+
+
+def flagged(rows: DataFrame, numbers: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with a boolean column ``flag``: whether their ``number`` is among those of ``numbers``.
+
+    Numbers are those of ``monotonically_increasing_id``.  One bit for each is broadcast, so that wide rows stay where they are.
+    """
+    place = F.col("number") + 1  # bitmaps begin behind multiples of 32,768, as partitions do
+    stretch, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bits = staged(numbers.groupBy(stretch.alias("stretch")).agg(F.bitmap_construct_agg(bit).alias("bits")), "bits")
+    if bits.count() > BITMAPS:
+        among = numbers.select("number", F.lit(True).alias(flag)).distinct()
+        return rows.join(among, "number", "left").select(*rows.columns, F.coalesce(flag, F.lit(False)).alias(flag))
+    octet = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    among = F.coalesce(F.getbit(octet, (bit % 8).cast("int")) == 1, F.lit(False))
+    joined = rows.withColumn("stretch", stretch).join(F.broadcast(bits), "stretch", "left")
+    return joined.withColumn(flag, among).drop("stretch", "bits")
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a NULL id counts as remainder 0."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus, F.lit(0))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import staged, word_blocks
+from turnmill.llm.common import flagged, staged, word_blocks
 from turnmill.llm.components import components
 
 BITS = 64
@@ -188,8 +188,8 @@ def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, key: str = "
     """One row of ``docs`` for each component, that with the least id; all columns of ``docs``.
 
     Among rows of the same id, and in a component without ids, any one row stays.  NULL and blank texts all are near
-    copies of each other.  The rows are written once with a number each; which ones stay is found on a narrow table, and one
-    semi-join on the number picks them.  An empty table gives no rows.
+    copies of each other.  The rows are written once with a number each; which ones stay is found on a narrow table, and a bit
+    for each number picks them, so that no text is shuffled.  An empty table gives no rows.
     """
     marked = docs.select(F.struct("*").alias("row"), fingerprints(F.col(text), shingle).alias("fp"), F.monotonically_increasing_id().alias("number"))
     marked = staged(marked, "marked")
@@ -197,4 +197,4 @@ def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, key: str = "
     first = F.min(F.struct(id_.isNull().alias("idless"), id_.alias("id"), "number")).alias("first")
     nodes = staged(marked.groupBy("fp").agg(first), "nodes")
     chosen = rooted(nodes, radius).groupBy("root").agg(F.min("first").alias("first")).select("first.number")
-    return marked.join(staged(chosen, "chosen"), "number", "left_semi").select("row.*")
+    return flagged(marked, staged(chosen, "chosen"), "stays").where("stays").select("row.*")
