@@ -27,6 +27,73 @@ def test_toxicity_of_planted_words(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in scored)
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Every labelled text that doesn't calibrate is learnt from in an epoch, however many and however long; all are counted."""
+    choose, learnt, whole = random.Random(6), [], toxicity.epoch
+
+    def watched(*args):
+        table, dense = whole(*args)
+        learnt.append(dense[-1])
+        return table, dense
+
+    monkeypatch.setattr(toxicity, "epoch", watched)
+    rows = [(i, " ".join(choose.choices(["a", "b", "c", f"w{i % 9}"], k=3)), None, 0) for i in range(7000)]
+    rows += [(i, " ".join([*choose.choices(["a", "b", "c"], k=5000), "vilest", "a b"]), "en", 1) for i in range(7000, 7060)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").repartition(3)
+    settings = toxicity.Settings(epochs=2)
+    model = toxicity.train(frame.drop("toxic"), frame.select("doc_id", "toxic").union(frame.select("doc_id", F.lit(0)).limit(50)), settings)
+    learning = frame.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(settings.checked)) != 0).count()
+    assert learning > 5000 and set(learnt) == {learning}
+    assert all(model.rows.get(toxicity.units(w)[0]) for w in ("a", "vilest", "w8")) and model.langs == ["en"]
+    n = 60 * 5003 + 0.1 * (settings.buckets + 1)
+    assert model.lang_scores[model.rows.get(toxicity.units("vilest")[0]), 0] == pytest.approx(np.log(60.1 / n), abs=0.01)
+    assert not model.rows.get(toxicity.units("nowhere")[0])
+
+
+def test_changes_of_many_shares_are_averaged(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARE", 10_000)
+    choose = random.Random(4)
+    rows = [(i, " ".join([f"w{choose.randrange(300)}" for _ in range(30)] + ["idiot"] * (i % 2) * 2), "en", i % 2) for i in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").repartition(4)
+    scored = toxicity.score_toxicity(frame.drop("toxic"), frame.select("doc_id", "toxic"))
+    held = [r["predicted"] == r["doc_id"] % 2 for r in scored.collect() if r["held_out"]]
+    assert sum(held) >= 0.97 * len(held) > 400
+
+
+def test_a_text_scores_the_same_whatever_stands_behind_it():
+    random_ = np.random.default_rng(2)
+    rows = {toxicity.units(f"w{i}")[0]: i + 1 for i in range(50)}
+    filters = [random_.normal(size=(w, 4, 3)).astype(np.float32) for w in (1, 2, 3)]
+    embedding = np.vstack([np.zeros((1, 4)), random_.normal(size=(50, 4))]).astype(np.float32)
+    model = toxicity.Model(rows, embedding, filters, [np.ones(3, np.float32)] * 3, random_.normal(size=9), 0.1, ["en"], np.zeros((51, 1), np.float32), np.zeros(1), 1.0, 0.7)
+    words = toxicity._Words(model)
+    of = lambda texts: toxicity.joined([np.array([words[w] for w in x], np.int64) for x in texts], 3)
+    z = lambda texts: toxicity.logits(model, words.table[of(texts)[0]][:, :4], words.table[of(texts)[0]][:, 4:], of(texts)[1])[0]
+    texts = [[f"w{random_.integers(50)}" for _ in range(n)] for n in (1, 0, 2, 0, 5, 1, 3, 1)]
+    assert z(texts) == pytest.approx([z([x])[0] for x in texts], abs=1e-5)
+
+
+def test_gradients_of_a_step_by_differences():
+    """What a step adds to Adam's mean is a tenth of the loss's gradient, block by block of the words."""
+    settings, random_ = toxicity.Settings(buckets=30, dimensions=3, filters=2, decay=0.0), np.random.default_rng(3)
+    table = np.concatenate((random_.normal(size=(31, 3)), np.full((31, 1), 1e-4)), axis=1)
+    table[0, :3] = 0
+    size = 6 * 6 + 6 + 6 + 1
+    dense = np.concatenate((random_.normal(size=size), np.zeros(2 * size + 3)))
+    texts, labels, weight = [random_.integers(0, 12, n) for n in (7, 0, 1, 30)], np.array([1.0, 0, 1, 0]), np.array([1.0, 0.5, 1, 0.5])
+    word_units = np.concatenate((np.zeros((1, 6), np.int64), random_.integers(0, 31, (11, 6))))
+
+    def loss(parameters):
+        own = toxicity.Learner(table.copy(), np.concatenate((parameters, dense[size:])), settings)
+        own.learn(texts, word_units, labels, weight)
+        return own.dense[-2] / 4, own.dense[size : 2 * size] * 10
+
+    _, gradient = loss(dense[:size])
+    for at in range(size - 1):
+        step = np.eye(size)[at] * 1e-4
+        assert gradient[at] == pytest.approx((loss(dense[:size] + step)[0] - loss(dense[:size] - step)[0]) / 2e-4, abs=2e-3)
+
+
 def test_a_long_text_scores_as_its_parts_do(monkeypatch):
     monkeypatch.setattr(toxicity, "CHUNK", 64)
     random_ = np.random.default_rng(1)
