@@ -287,17 +287,19 @@ def counted(rows: DataFrame, settings: Settings) -> DataFrame:
     kinds = 1 << SLOT_BITS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, total = _Table(units, np.uint64), np.zeros(kinds, np.int32)
+        words, total = _Table(units, np.uint64), np.zeros(kinds + 1, np.int32)
         by_lang: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch["words"], batch["lang"]):
                 numbers = words.numbers(text)
                 own = words.table[np.unique(numbers)]
-                total[np.unique(own[own != 0] >> np.uint64(64 - SLOT_BITS))] += 1
+                # Adds one to a slot however often it is there; the one behind the last is for stems that a word lacks.
+                total[np.where(own, own >> np.uint64(64 - SLOT_BITS), np.uint64(kinds)).astype(np.int64)] += 1
                 if lang is not None and len(numbers):
-                    at, n = np.unique(words.table[numbers, 0] % np.uint64(settings.buckets), return_counts=True)
-                    by_lang.setdefault(lang, np.zeros(settings.buckets + 1, np.int64))[at.astype(np.int64) + 1] += n
+                    at = (words.table[numbers, 0] % np.uint64(settings.buckets)).astype(np.int64) + 1
+                    np.add.at(by_lang.setdefault(lang, np.zeros(settings.buckets + 1, np.int64)), at, 1)
                 words.room()
+        total = total[:kinds]
         found = np.flatnonzero(total)
         yield pd.DataFrame({"lang": None, "slot": True, "place": found, "n": total[found]})
         for lang, n in by_lang.items():
