@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import weakref
 
 import public_tokenizers
 import pytest
@@ -10,6 +11,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer as Library
 
 from turnmill.llm import bpe_transducer as bpe
+from turnmill.llm import common, language_id
 from turnmill.llm import token_counts as counts
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -142,3 +144,13 @@ def test_awkward_rows_round_trip(awkward, nothing, ranks, library):
     ids = bpe.encode_documents(awkward, ranks)
     again = ids.select(bpe.decode_ids(ids["ids"], ranks, awkward.sparkSession).alias("t")).collect()
     assert sorted(r["t"] for r in again) == sorted(r["text"] or "" for r in awkward.collect())
+
+
+def test_counting_words_gives_back_what_coders_have_kept():
+    source = bpe.Ranks(RANKS, public_tokenizers.PATTERN)
+    encode, _ = bpe.coder(source)
+    assert bpe.coder(source)[0] is encode
+    gone = weakref.ref(encode)
+    del encode
+    list(language_id._count_words(iter([])))
+    assert gone() is None and not common.KEPT

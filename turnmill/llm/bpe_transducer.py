@@ -25,6 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnmill.llm.common import KEPT, release
 from turnmill.llm.fill_in_middle import blocks
 
 #: Bounds on what a worker remembers; transitions beyond them are made, but not kept.
@@ -438,16 +439,12 @@ def decode_ids(ids: Column, source: Ranks, spark) -> Column:
     return F.pandas_udf(run, "string").asNondeterministic()(ids)
 
 
-#: What a worker process has built for the last rank file; later tasks of the process go on with it.
-_CODERS: dict[str, tuple] = {}
-
-
 def coder(source: Ranks) -> tuple:
-    """The process's encoder and token list for a rank file."""
-    if source.name not in _CODERS:
-        _CODERS.clear()
-        _CODERS[source.name] = (encoder(source), tokens_of(source))
-    return _CODERS[source.name]
+    """The process's encoder and token list for the last rank file; later tasks of the process go on with it."""
+    if source.name not in KEPT:
+        release()
+        KEPT[source.name] = (encoder(source), tokens_of(source))
+    return KEPT[source.name]
 
 
 def coded_text(text: Column, source: Ranks, spark) -> Column:

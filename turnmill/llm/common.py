@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -13,6 +14,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: What a worker process keeps between tasks, by name.
+KEPT: dict[str, tuple] = {}
+
+
+def release() -> None:
+    """Give back what an earlier stage has kept in this worker process; idle workers hold it otherwise."""
+    if KEPT:
+        KEPT.clear()
+        gc.collect()  # encoders refer to themselves
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

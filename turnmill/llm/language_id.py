@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import local_path, remainder, shared_path, staged
+from turnmill.llm.common import local_path, release, remainder, shared_path, staged
 from turnmill.llm.kneser_ney import save
 
 UNKNOWN = "und"
@@ -61,6 +61,7 @@ def _rows(counts: dict, columns: list[str]) -> pd.DataFrame:
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    release()
     counts: dict[tuple, Counter] = defaultdict(Counter)
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
