@@ -118,6 +118,30 @@ def test_tokens_come_out_after_bounded_lookahead(ranks):
     assert all(sum(len(transducer.token[t]) for t in pending) <= 2 * longest for _, live in transducer.states for _, pending in live)
 
 
+def test_contexts_that_allow_the_same_share_states(ranks, library, tables):
+    transducer = bpe.Transducer(ranks)
+    words = sorted({w for row in tables("documents").limit(300).collect() for w in (row["text"] or "").split()})
+    for word in words:
+        assert transducer.encode(word.encode()) == library.encode_ordinary(word) or not word.isalpha()
+    assert len(transducer.states) < 0.1 * sum(map(len, words))
+
+
+@pytest.mark.parametrize("held", [1, 7, 64])
+def test_a_long_pre_token_comes_out_in_parts(ranks, library, monkeypatch, held):
+    choose, waiting = random.Random(held), []
+    sure = bpe.Transducer._sure
+    monkeypatch.setattr(bpe, "HELD", held)
+    monkeypatch.setattr(bpe.Transducer, "_sure", lambda self, state, lasts: (n := sure(self, state, lasts), waiting.append(len(lasts) - n))[0])
+    longest = max(map(len, ranks.ranks))
+    for most in (400_000, 50):
+        monkeypatch.setattr(bpe, "MAX_TRANSITIONS", most)
+        transducer = bpe.Transducer(ranks)
+        for letters in ("internationalization", "aé日", "ab"):
+            text = "".join(choose.choices(letters, k=1500))
+            assert transducer.encode(text.encode()) == library.encode_ordinary(text)
+    assert waiting and max(waiting) <= 2 * longest
+
+
 def test_border_test_against_plain_merging(ranks):
     transducer, choose = bpe.Transducer(ranks), random.Random(2)
     for _ in range(3000):

@@ -1,9 +1,10 @@
 """Byte-level BPE as a finite-state transducer, and streaming decoding.
 
-The transducer reads a pre-token byte by byte.  After each byte it knows the encoding of every prefix
-that can still matter: one that ends where a vocabulary token may still be under way.  Tokens on which
-all those encodings agree are emitted at once; none waits longer than the longest token.  Such a
-configuration is a state.  States and transitions are made when the input first asks for them.
+The transducer reads a pre-token byte by byte.  After each byte it knows the last token of the encoding of all that
+was read, and every prefix that can still matter: one that ends where a vocabulary token may still be under
+way.  Such a configuration is a state.  States and transitions are made when the input first asks for them.
+The tokens are read off backwards, from one last token to the one before; those on which all prefixes that can
+still matter agree come out of a long pre-token before its end.
 
 The step rests on a property of rank-ordered merges: a token sequence is the encoding of its bytes if
 and only if every two neighbours are the encoding of theirs.  So the encoding of a prefix is the
@@ -29,12 +30,12 @@ from turnmill.llm.common import KEPT, release
 from turnmill.llm.fill_in_middle import blocks
 
 #: Bounds on what a worker remembers; transitions beyond them are made, but not kept.
-MAX_TRANSITIONS = 250_000
+MAX_TRANSITIONS = 400_000
 MAX_STATES = 150_000
 MAX_PAIRS = 150_000
 
 #: Bytes, by estimate, of the texts whose ids a worker remembers: those after a blank, and other pre-tokens.
-STRETCH_BYTES = 256 << 20
+STRETCH_BYTES = 128 << 20
 PIECE_BYTES = 12 << 20
 
 #: What an entry takes besides its text and its ids.
@@ -43,6 +44,12 @@ ENTRY_BYTES = 220
 #: A node that at most so many tokens continue is dropped where none of them can follow.
 FEW = 100
 
+#: Where at most so many can follow, contexts that allow the same of them are one.
+SAME = 12
+
+#: States of a pre-token that are held before the tokens that are sure come out.
+HELD = 1 << 16
+
 #: Characters of a text that are cut into pre-tokens at a time.
 LONG = 1 << 20
 
@@ -98,21 +105,22 @@ class Ranks:
 
 
 class _Steps(dict):
-    """state << 8 | byte -> (state, emitted tokens); made when first asked for."""
+    """state << 8 | byte -> state; made when first asked for."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
 
-    def __missing__(self, step: int) -> tuple[int, tuple[int, ...]] | None:
+    def __missing__(self, step: int) -> int | None:
         return self.make(step)
 
 
 class Transducer:
     """Encodes byte strings; see the head of this file.
 
-    A state is (last emitted token or -1, live prefixes); a live prefix is (trie node of the bytes after it,
-    its tokens that are not emitted yet).  The last live prefix is always everything read so far.
+    A state is (last token of what was read or -1, live prefixes); a live prefix is (trie node of the bytes after it,
+    its last token).  That token is left out where all that may come can follow; one may stand for others that allow
+    the same.  Everything read so far is the last live prefix, and not listed.
     """
 
     ROOT = 0
@@ -123,7 +131,7 @@ class Transducer:
         self.trie: dict[int, int] = {}  # node << 8 | byte -> node
         self.below: dict[int, list[int]] = {}  # node -> tokens that continue it
         self.ends: dict[int, int] = {}  # node -> token
-        nodes = 1
+        self.depth = [0]
         for token, rank in source.ranks.items():
             self.token[rank] = token
             if token in source.unreached:
@@ -133,19 +141,20 @@ class Transducer:
                 step = node << 8 | byte
                 self.below.setdefault(node, []).append(rank)
                 if step not in self.trie:
-                    self.trie[step] = nodes
-                    nodes += 1
+                    self.trie[step] = len(self.depth)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.trie[step]
             self.ends[node] = rank
         #: Nodes that few tokens continue; the others are taken to be open in any context.
         self.few = {node: tokens for node, tokens in self.below.items() if len(tokens) <= FEW}
         self.below = self.below.keys()
-        self.open: dict[int, bool] = {}
+        self.lives: dict[int, tuple] = {}
+        self.same: dict[tuple, tuple[int, tuple[int, ...]]] = {}
         self.pairs: dict[int, bool] = {}
         self.restart()
 
     def restart(self) -> None:
-        first = (-1, ((self.ROOT, ()),))
+        first = (-1, ())
         self.states = [first]
         self.number = {first: 0}
         self.steps = _Steps(self._make)
@@ -183,82 +192,118 @@ class Transducer:
             else:
                 return True
 
-    def _open(self, last: int, node: int) -> bool:
-        """Whether a token that begins with the node's bytes may follow ``last``."""
-        tokens = self.few.get(node)
-        if tokens is None or last < 0:
-            return True
-        key = last << 32 | node
-        known = self.open.get(key)
-        if known is None:
-            if len(self.open) > MAX_PAIRS:
-                self.open.clear()
-            known = self.open[key] = any(self._never_joined(last, t) for t in tokens)
-        return known
+    def _live(self, last: int, node: int) -> tuple:
+        """The live prefix with this last token and node; empty if no token that begins with the node's bytes may follow."""
+        if len(self.lives) > MAX_PAIRS:
+            self.lives.clear()
+            self.same.clear()
+        tokens, made = self.few.get(node), (node, (last,) if last >= 0 else ())
+        if tokens is not None and last >= 0:
+            if len(tokens) <= SAME:
+                allowed = tuple([t for t in tokens if self.adjacent(last, t)])
+                if len(allowed) == len(tokens):
+                    made = (node, ())
+                made = self.same.setdefault((node, allowed), made) if allowed else ()
+            elif not any(self._never_joined(last, t) for t in tokens):
+                made = ()
+        self.lives[last << 32 | node] = made
+        return made
 
-    def _advance(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
-        """The state after one more byte, and the tokens emitted."""
+    def _advance(self, state: tuple, byte: int) -> tuple:
+        """The state after one more byte."""
         last, live = state
-        trie, ends, below, pairs = self.trie, self.ends, self.below, self.pairs
-        kept, whole = [], None
-        for node, pending in live:
+        trie, ends, below, pairs, lives = self.trie, self.ends, self.below, self.pairs, self.lives
+        kept, whole = [], -1
+        for node, before in (*live, (self.ROOT, (last,))):
             node = trie.get(node << 8 | byte)
             if node is None:
                 continue
-            before = pending[-1] if pending else last
-            if whole is None:
+            before = before[0] if before else -1
+            if whole < 0:
                 token = ends.get(node, -1)
                 if token >= 0:
-                    fits = pairs.get(before << 32 | token)
+                    fits = before < 0 or pairs.get(before << 32 | token)
                     if fits or fits is None and self.adjacent(before, token):
-                        whole = (*pending, token)
-            if node in below and self._open(before, node):
-                kept.append((node, pending))
-        agreed = len(whole)
-        for _, pending in kept:
-            if len(pending) < agreed:
-                agreed = len(pending)
-            while whole[:agreed] != pending[:agreed]:
-                agreed -= 1
-        if not agreed:
-            kept.append((self.ROOT, whole))
-            return (last, tuple(kept)), ()
-        kept = [(node, pending[agreed:]) for node, pending in kept]
-        kept.append((self.ROOT, whole[agreed:]))
-        return (whole[agreed - 1], tuple(kept)), whole[:agreed]
-
-    def _make(self, step: int) -> tuple[int, tuple[int, ...]] | None:
+                        whole = token
+            if node in below:
+                found = lives.get(before << 32 | node)
+                if found is None:
+                    found = self._live(before, node)
+                if found:
+                    kept.append(found)
+        return whole, tuple(kept)
+
+    def _make(self, step: int) -> int | None:
         """Determinise one transition; None when there is no more room."""
         if len(self.steps) >= MAX_TRANSITIONS or len(self.states) >= MAX_STATES:
             return None
-        state, emitted = self._advance(self.states[step >> 8], step & 255)
+        state = self._advance(self.states[step >> 8], step & 255)
         number = self.number.get(state)
         if number is None:
             number = self.number[state] = len(self.states)
             self.states.append(state)
-        made = self.steps[step] = (number, emitted)
-        return made
+        self.steps[step] = number
+        return number
 
     def encode(self, piece: bytes) -> list[int]:
-        state, out, steps = 0, [], self.steps
+        if len(piece) > HELD:
+            return self._encode_long(piece)
+        state, lasts, steps, states = 0, [], self.steps, self.states
         for at, byte in enumerate(piece):
-            found = steps[state << 8 | byte]
-            if found is None:
-                return self._go_on(self.states[state], piece[at:], out)
-            state, emitted = found
-            if emitted:
-                out += emitted
-        out += self.states[state][1][-1][1]
+            state = steps[state << 8 | byte]
+            if state is None:
+                self._go_on(states[lasts[-1]] if lasts else states[0], piece[at:], lasts := [states[s][0] for s in lasts])
+                return self._read_off(lasts, len(lasts))
+            lasts.append(state)
+        out, end = [], len(lasts)
+        while end:
+            token = states[lasts[end - 1]][0]
+            out.append(token)
+            end -= len(self.token[token])
+        out.reverse()
         return out
 
-    def _go_on(self, state: tuple, rest: bytes, out: list[int]) -> list[int]:
-        """The same from a state on, without keeping what is made."""
+    def _go_on(self, state: tuple, rest: bytes, lasts: list[int]) -> tuple:
+        """Reads on from a state without keeping what is made; the last token after each byte goes to ``lasts``."""
+        steps, states, number = self.steps, self.states, self.number.get(state)
         for byte in rest:
-            state, emitted = self._advance(state, byte)
-            out += emitted
-        out += state[1][-1][1]
+            known = None if number is None else steps[number << 8 | byte]
+            if known is None:
+                state = self._advance(state if number is None else states[number], byte)
+                number = self.number.get(state)
+            else:
+                number = known
+            lasts.append(state[0] if number is None else states[number][0])
+        return state if number is None else states[number]
+
+    def _read_off(self, lasts: list[int], end: int) -> list[int]:
+        """The tokens of the first ``end`` bytes, by the last token after each byte."""
+        out = []
+        while end:
+            out.append(lasts[end - 1])
+            end -= len(self.token[out[-1]])
+        out.reverse()
         return out
 
+    def _encode_long(self, piece: bytes) -> list[int]:
+        """The same, HELD bytes at a time."""
+        state, lasts, out = self.states[0], [], []
+        for start in range(0, len(piece), HELD):
+            state = self._go_on(state, piece[start : start + HELD], lasts)
+            sure = self._sure(state, lasts)
+            out += self._read_off(lasts, sure)
+            del lasts[:sure]
+        return out + self._read_off(lasts, len(lasts))
+
+    def _sure(self, state: tuple, lasts: list[int]) -> int:
+        """How many of the bytes read have their tokens in the encodings of all live prefixes."""
+        ends = {len(lasts), *(len(lasts) - self.depth[node] for node, _ in state[1])}
+        while len(ends) > 1:
+            latest = max(ends)
+            ends.remove(latest)
+            ends.add(latest - len(self.token[lasts[latest - 1]]))
+        return ends.pop()
+
 
 class _Memo(dict):
     """Ids per text, as little-endian integers of four bytes, remembered within a number of bytes.
