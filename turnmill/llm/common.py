@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,10 @@ def release() -> None:
     if KEPT:
         KEPT.clear()
         gc.collect()  # encoders refer to themselves
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc, which keeps freed blocks otherwise
+    if trim is not None:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
