@@ -73,6 +73,23 @@ def test_a_text_scores_the_same_whatever_stands_behind_it():
     assert z(texts) == pytest.approx([z([x])[0] for x in texts], abs=1e-5)
 
 
+def test_rows_of_new_words_are_made_together(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 40)
+    monkeypatch.setattr(toxicity, "CHUNK", 64)
+    random_, names = np.random.default_rng(4), [f"w{i}" * (1 + i % 4) for i in range(150)]
+    rows = {x: int(random_.integers(1, 51)) for w in names for x in toxicity.units(w) if random_.random() < 0.7}
+    embedding = np.vstack([np.zeros((1, 4)), random_.normal(size=(50, 4))]).astype(np.float32)
+    scores = np.vstack([np.zeros((1, 2)), random_.normal(size=(50, 2))]).astype(np.float32)
+    filters = [random_.normal(size=(w, 4, 3)).astype(np.float32) for w in (1, 2, 3)]
+    model = toxicity.Model(rows, embedding, filters, [np.ones(3, np.float32)] * 3, random_.normal(size=9), 0.1, ["en", "fr"], scores, np.zeros(2), 1.0, 0.7)
+    texts = [[names[i] for i in random_.integers(0, 150, n)] for n in (0, 7, 30, 1, 90, 12, 25, 3) * 6]
+    made, rows_of = [], toxicity._Words.rows
+    monkeypatch.setattr(toxicity._Words, "rows", lambda self, at: (made.append(len(self.waiting)), rows_of(self, at))[1])
+    together = toxicity._values(texts, model, toxicity._Words(model, together=True), 0.0)
+    assert max(made) > 5
+    assert (together == toxicity._values(texts, model, toxicity._Words(model), 0.0)).all()
+
+
 def test_gradients_of_a_step_by_differences():
     """What a step adds to Adam's mean is a tenth of the loss's gradient, block by block of the words."""
     settings, random_ = toxicity.Settings(buckets=30, dimensions=3, filters=2, decay=0.0), np.random.default_rng(3)

@@ -33,7 +33,7 @@ STEMS = (3, 4, 5, 6, 7)
 
 #: Texts a worker computes at a time, in words; words it remembers.
 CHUNK = 1 << 16
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 #: Characters of words that a task learns from before its changes are averaged with those of other tasks.
 SHARE = 64 << 20
@@ -361,7 +361,7 @@ def calibrate(model: Model, rows: DataFrame, settings: Settings) -> None:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _Words(shared.value)
+        words = _Words(shared.value, together=True)
         for batch in batches:
             z, lang = _values((x.split() for x in batch["words"]), shared.value, words, 0.0).T
             yield pd.DataFrame({"lang": lang.astype(np.int64), "z": z, "toxic": batch["toxic"].to_numpy(np.int64)})
@@ -446,27 +446,40 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 class _Words(dict):
     """Row per word in a table of embedded words and their votes for languages; remembered for a while.
 
-    Row 0 is the unknown word.
+    Row 0 is the unknown word.  ``together``: rows of new words wait until ``rows`` is asked for some.
     """
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, together: bool = False):
         super().__init__()
+        self.together = together
         self.model, self.size = model, model.embedding.shape[1]
         self.table = np.zeros((REMEMBERED + CHUNK + 1, self.size + len(model.langs)), np.float32)
-        self.next = 1
+        self.next = self.made = 1
+        self.waiting: list[list[int]] = []
 
     def room(self) -> None:
         if self.next > REMEMBERED:
             self.clear()
-            self.next = 1
+            self.next = self.made = 1
+            self.waiting = []
+
+    def rows(self, numbers: np.ndarray) -> np.ndarray:
+        """The table's rows; those of new words are made together."""
+        if self.waiting:
+            units = np.array(self.waiting)
+            self.table[self.made : self.next, : self.size] = self.model.embedding[units].sum(axis=1)
+            self.table[self.made : self.next, self.size :] = self.model.lang_scores[units[:, 0]]
+            self.made, self.waiting = self.next, []
+        return self.table[numbers]
 
     def __missing__(self, word: str) -> int:
         rows = [self.model.rows.get(x, 0) for x in units(word)]
         at = 0
         if any(rows):
             at, self.next = self.next, self.next + 1
-            self.table[at, : self.size] = self.model.embedding[rows].sum(axis=0)
-            self.table[at, self.size :] = self.model.lang_scores[rows[0]]
+            self.waiting.append(rows + [0] * (len(STEMS) + 1 - len(rows)))  # embedding 0 is zero
+            if not self.together:
+                self.rows(np.empty(0, np.int64))
         if at or len(self) < 4 * REMEMBERED:
             self[word] = at
         return at
@@ -480,7 +493,7 @@ def _values(texts: Iterable[list[str]], own: Model, words: _Words, offset: float
         if not texts:
             return np.empty((0, 2))
         numbers, starts = joined(texts, gap)
-        both = words.table[numbers]
+        both = words.rows(numbers)
         z, lang = logits(own, both[:, :size], both[:, size:], starts)
         return np.stack((own.slope * (z - own.thresholds[lang]) + offset, lang), axis=1)
 
@@ -508,7 +521,7 @@ def scored(text: Column, model: Model, spark) -> Column:
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = shared.value
-        words, offset = _Words(own), np.log(own.threshold / (1 - own.threshold))
+        words, offset = _Words(own, together=True), np.log(own.threshold / (1 - own.threshold))
         for batch in batches:
             values = _values(map(words_of, batch), own, words, offset)[:, 0]
             yield pd.Series(1 / (1 + np.exp(-np.clip(values, -50, 50))))
@@ -523,7 +536,7 @@ def _long(found: list[str], own: Model, words: _Words, offset: float) -> np.ndar
     for begin in range(0, len(found), step):
         words.room()
         part = found[begin : begin + step + gap - 1]
-        both = words.table[np.fromiter(map(words.__getitem__, part), np.int64, len(part))]
+        both = words.rows(np.fromiter(map(words.__getitem__, part), np.int64, len(part)))
         x = np.concatenate((both[:, :size], np.zeros((gap, size), np.float32)))
         pooled = np.concatenate([convolved(x, w, b).max(axis=0) for w, b in zip(own.filters, own.bias)])
         best = pooled if best is None else np.maximum(best, pooled)
