@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import time
 import weakref
 
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -178,3 +180,26 @@ def test_counting_words_gives_back_what_coders_have_kept():
     del encode
     list(language_id._count_words(iter([])))
     assert gone() is None and not common.KEPT
+
+
+def test_an_idle_process_gives_back_what_coders_have_kept(monkeypatch):
+    monkeypatch.setattr(common, "IDLE", 0.3)
+    source = bpe.Ranks(RANKS, public_tokenizers.PATTERN)
+    with common.kept(lambda: bpe.coder(source)) as (encode, _):
+        gone = weakref.ref(encode)
+        time.sleep(0.6)
+        assert common.KEPT  # in use
+    with common.kept(lambda: bpe.coder(source)) as (again, _):
+        assert again is encode
+        del again, encode
+    time.sleep(2)
+    assert gone() is None and not common.KEPT
+
+
+def test_workers_keep_nothing_after_a_round_trip(spark, ranks, tables):
+    held = lambda batches: ({"n": [len(common.KEPT)] * len(b)} for b in batches)
+    counts = lambda: [r["n"] for r in spark.range(0, 64, 1, 8).mapInPandas(lambda x: map(pd.DataFrame, held(x)), "n long").collect()]
+    bpe.round_trip(tables("documents"), ranks).count()
+    bpe.digests(bpe.round_trip(tables("documents"), ranks)).collect()
+    time.sleep(5)
+    assert set(counts()) == {0}

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import KEPT, release
+from turnmill.llm.common import KEPT, kept, release
 from turnmill.llm.fill_in_middle import blocks
 
 #: Bounds on what a worker remembers; transitions beyond them are made, but not kept.
@@ -35,7 +35,7 @@ MAX_STATES = 150_000
 MAX_PAIRS = 150_000
 
 #: Bytes, by estimate, of the texts whose ids a worker remembers: those after a blank, and other pre-tokens.
-STRETCH_BYTES = 128 << 20
+STRETCH_BYTES = 64 << 20
 PIECE_BYTES = 12 << 20
 
 #: What an entry takes besides its text and its ids.
@@ -443,10 +443,10 @@ def encode_text(text: Column, source: Ranks, spark) -> Column:
     shared = spark.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode, _ = coder(shared.value)
-        for texts in batches:
-            for block in text_blocks(texts):
-                yield id_lists([encode(x) for x in block])
+        with kept(lambda: coder(shared.value)) as (encode, _):
+            for texts in batches:
+                for block in text_blocks(texts):
+                    yield id_lists([encode(x) for x in block])
 
     return F.arrow_udf(run, "array<int>").asNondeterministic()(text)
 
@@ -477,15 +477,15 @@ def decode_ids(ids: Column, source: Ranks, spark) -> Column:
     shared = spark.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        _, token = coder(shared.value)
-        for arrays in batches:
-            yield pd.Series(["" if x is None else "".join(decode_stream(x, token)) for x in arrays], dtype=object)
+        with kept(lambda: coder(shared.value)) as (_, token):
+            for arrays in batches:
+                yield pd.Series(["" if x is None else "".join(decode_stream(x, token)) for x in arrays], dtype=object)
 
     return F.pandas_udf(run, "string").asNondeterministic()(ids)
 
 
 def coder(source: Ranks) -> tuple:
-    """The process's encoder and token list for the last rank file; later tasks of the process go on with it."""
+    """The process's encoder and token list for the last rank file; tasks get at it through ``kept``."""
     if source.name not in KEPT:
         release()
         KEPT[source.name] = (encoder(source), tokens_of(source))
@@ -497,12 +497,12 @@ def coded_text(text: Column, source: Ranks, spark) -> Column:
     shared = spark.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode, token = coder(shared.value)
-        for texts in batches:
-            for block in text_blocks(texts):
-                ids = [encode(x) for x in block]
-                decoded = pa.array(["".join(decode_stream(x, token)) for x in ids], pa.string())
-                yield pa.StructArray.from_arrays([id_lists(ids), decoded], ["ids", "decoded"])
+        with kept(lambda: coder(shared.value)) as (encode, token):
+            for texts in batches:
+                for block in text_blocks(texts):
+                    ids = [encode(x) for x in block]
+                    decoded = pa.array(["".join(decode_stream(x, token)) for x in ids], pa.string())
+                    yield pa.StructArray.from_arrays([id_lists(ids), decoded], ["ids", "decoded"])
 
     return F.arrow_udf(run, "ids array<int>, decoded string").asNondeterministic()(text)
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +22,12 @@ SPACE = r"[\x20\x09-\x0D]+"
 #: What a worker process keeps between tasks, by name.
 KEPT: dict[str, tuple] = {}
 
+#: Seconds without a task after which a worker process gives it back.
+IDLE = 1.5
+
+_lock = threading.RLock()
+_users, _ended = [0], [0]  # tasks, or operators of one, that use what is kept; those that have
+
 
 def release() -> None:
     """Give back what an earlier stage has kept in this worker process; idle workers hold it otherwise."""
@@ -31,6 +40,30 @@ def release() -> None:
         trim(0)
 
 
+@contextmanager
+def kept(make: Callable[[], tuple]) -> Iterator[tuple]:
+    """What ``make`` finds in KEPT or puts there.  Later tasks of the process go on with it; when none comes for a while, it is given back."""
+    with _lock:
+        found = make()
+        _users[0] += 1
+    try:
+        yield found
+    finally:
+        del found
+        with _lock:
+            _users[0] -= 1
+            _ended[0] += 1
+            timer = threading.Timer(IDLE, _release_idle, [_ended[0]])
+            timer.daemon = True
+            timer.start()
+
+
+def _release_idle(ended: int) -> None:
+    with _lock:
+        if not _users[0] and ended == _ended[0]:
+            release()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
