@@ -30,12 +30,12 @@ from turnmill.llm.common import KEPT, kept, release
 from turnmill.llm.fill_in_middle import blocks
 
 #: Bounds on what a worker remembers; transitions beyond them are made, but not kept.
-MAX_TRANSITIONS = 400_000
-MAX_STATES = 150_000
-MAX_PAIRS = 150_000
+MAX_TRANSITIONS = 200_000
+MAX_STATES = 75_000
+MAX_PAIRS = 75_000
 
 #: Bytes, by estimate, of the texts whose ids a worker remembers: those after a blank, and other pre-tokens.
-STRETCH_BYTES = 64 << 20
+STRETCH_BYTES = 32 << 20
 PIECE_BYTES = 12 << 20
 
 #: What an entry takes besides its text and its ids.

@@ -458,12 +458,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), ke
     items = benchmark.select("item_id", "text", answer.alias("answer")).where("text IS NOT NULL")
     own = docs.select(F.col(key).cast("string").alias("row"), F.col(text).alias("text"))
     schema = "row string, item_id long, cosine double, item_share double, answer_share double"
-    result, rows = spark.createDataFrame([], schema), []
+    nothing = spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in (x.split() for x in schema.split(", "))))
+    result, rows = nothing, []  # an empty list would start Python processes on executors
 
     def searched(rows: list) -> DataFrame:
         block = build_block(rows, rules)
         if not block.ids:
-            return spark.createDataFrame([], schema)
+            return nothing
         words = staged(own.select("row", encoded(F.col("text"), block, spark).alias("words")), "benchmark-words")
         _latent_space(words, block, rules)
         shared = spark.sparkContext.broadcast(block)

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,7 +136,9 @@ def train(docs: DataFrame, shard: int = SHARD) -> Model:
     place = {lang: i for i, lang in enumerate(langs)}
     bits = max(0, int(np.ceil(np.log2(sum(r["entries"] for r in totals) / shard))))
     folder = local_path(shared_path(spark, "lang-shards"))
-    of = spark.createDataFrame([(r["lang"], r["size"], place[r["lang"]], r["n"]) for r in totals], "lang string, size int, lang_id int, total long")
+    rows = [{"lang": r["lang"], "size": r["size"], "lang_id": place[r["lang"]], "total": r["n"]} for r in totals]
+    # Of Arrow, since executors start further Python processes for a list, and keep them.
+    of = spark.createDataFrame(pa.Table.from_pylist(rows), "lang string, size int, lang_id int, total long")
     kind = F.when(F.col("size") == 0, "w").otherwise(F.col("size").cast("string"))
     key = F.xxhash64(F.concat(kind, F.col("unit")))
     number = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0)
